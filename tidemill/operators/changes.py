@@ -65,13 +65,18 @@ def latest_images(changes: DataFrame, key: str, order: Sequence[str], values: Se
     return last if keep_deleted else last.where(~F.col("op").eqNullSafe(DELETE)).drop("op")
 
 
+def config_images(config_lines: DataFrame) -> DataFrame:
+    """Last configuration change per source table, removals included: `op` and the configuration's columns."""
+    changes = read_changes(config_lines).withColumn("position", source_position())
+    rows = clean_changes(changes, keep=("ts_ms", "position")).withColumn("config", image())
+    rows = rows.withColumn("source_table", F.get_json_object("config", "$.source_table"))
+    last = latest_images(rows, "source_table", ("ts_ms", "position"), ("config",), keep_deleted=True)
+    return last.select("op", F.from_json("config", ROUTE_SCHEMA).alias("config")).select("op", "config.*")
+
+
 def config_state(config_lines: DataFrame) -> DataFrame:
     """Routing configuration as of the last change: one row per source table, removed tables left out."""
-    changes = read_changes(config_lines).withColumn("position", source_position())
-    rows = clean_changes(changes, keep=("ts_ms", "position"))
-    rows = rows.withColumn("config", image()).withColumn("source_table", F.get_json_object("config", "$.source_table"))
-    current = latest_images(rows, "source_table", ("ts_ms", "position"), ("config",))
-    return current.select(F.from_json("config", ROUTE_SCHEMA).alias("config")).select("config.*")
+    return config_images(config_lines).where(~F.col("op").eqNullSafe(DELETE)).drop("op")
 
 
 def route_changes(changes: DataFrame, routes: DataFrame) -> DataFrame:
@@ -105,16 +110,14 @@ def enrich(facts: DataFrame, dictionary: DataFrame, code: str) -> DataFrame:
     return join_lookup(facts, names, code, "left")
 
 
-def apply_table_config(spark: SparkSession, config_changes: DataFrame, namespace: str = "default") -> list[str]:
-    """Create a sink table for every configured table and drop it for every removed one; returns the statements.
+def apply_table_config(spark: SparkSession, images: DataFrame, namespace: str = "default") -> list[str]:
+    """Create the sink table of every configured table and drop that of every removed one; returns the statements.
 
-    `config_changes` is a cleaned configuration log in arrival order. It describes tables, so it is small; more
-    than `MAX_TABLES` changes at once are refused.
+    `images` is `config_images`: a row per source table, so it is small; more than `MAX_TABLES` rows are refused.
     """
-    route = F.from_json(image(), ROUTE_SCHEMA)
-    rows = config_changes.select("op", route.alias("r")).select("op", "r.*").limit(MAX_TABLES + 1).collect()
+    rows = images.limit(MAX_TABLES + 1).collect()
     if len(rows) > MAX_TABLES:
-        raise ValueError(f"more than {MAX_TABLES} configuration changes in one batch")
+        raise ValueError(f"more than {MAX_TABLES} configured tables")
     done = []
     for row in rows:
         name = f"`{namespace}`.`{row.sink_table}`"

@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.dates import millis_of_utc
+from tidemill.operators.profile import encode_categories
+
+PRIORITY_CODES = {"1-URGENT": 5, "2-HIGH": 4, "3-MEDIUM": 3, "4-NOT SPECIFIED": 2, "5-LOW": 1}
+SEGMENT_CODES = {"AUTOMOBILE": 0, "BUILDING": 1, "FURNITURE": 2, "HOUSEHOLD": 3, "MACHINERY": 4}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -139,6 +143,19 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         "response", (F.col("l_returnflag") == "R").cast("int"))
 
 
+def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order, with the buyer's balance and segment, category codes and a rare 0/1 label."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    buyers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    frame = orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    frame = encode_categories(frame, "o_orderpriority", PRIORITY_CODES, "priority")
+    frame = encode_categories(frame, "c_mktsegment", SEGMENT_CODES, "segment")
+    rare = (F.col("o_orderstatus") == "P") & (F.col("priority") >= 4)
+    return frame.select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("premium"),
+                        F.col("c_acctbal").alias("balance"), "priority", "segment", rare.cast("int").alias("response"))
+
+
 def premiums(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Gross premium, ceded premium and equity per customer; customers may be missing from the first two."""
     orders = table(spark, sf_dir, "orders")
