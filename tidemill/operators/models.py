@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -15,9 +16,14 @@ from tidemill.session import checkpoint_dir
 
 
 def _fit(train: DataFrame, features: Sequence[str], classifier) -> PipelineModel:
+    """Fit on a frame that is computed once; a lost part of it is computed again from its lineage."""
     checkpoint_dir(train.sparkSession)
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
-    return Pipeline(stages=[assembler, classifier]).fit(train)
+    held = train.select(*features, label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=[assembler, classifier]).fit(held)
+    finally:
+        held.unpersist()
 
 
 def fit_boosted(train: DataFrame, features: Sequence[str], label: str, rounds: int = 20, depth: int = 5,

@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BOX_POINTS = 20_000
+# Points per box: at least BOX_POINTS, more once that would take over MAX_BOXES boxes (the cuts go to every task).
+BOX_POINTS = 2_000
+MAX_BOXES = 100_000
 SAMPLE_POINTS = 200_000
 _BLOCK_CELLS = 4_000_000
 
@@ -111,9 +113,10 @@ def positions(rows: DataFrame, key: str, features: Sequence[str], k: int) -> Dat
         "pos", F.array(*[F.col(f).cast("double") for f in features]).alias("x"), "members")
 
 
-def _cut_space(points: DataFrame, box_points: int) -> Cuts:
-    """Cuts such that no box holds more than about four times `box_points` positions."""
+def _cut_space(points: DataFrame, box_points: int | None) -> tuple[Cuts, int]:
+    """Cuts such that no box holds more than about four times `box_points` positions, and that number."""
     cuts, total = Cuts(), points.count()
+    box_points = box_points or max(BOX_POINTS, total // MAX_BOXES)
     crowded = {0: total} if total > box_points else {}
     while crowded:
         boxes = [b for b in crowded]
@@ -129,7 +132,7 @@ def _cut_space(points: DataFrame, box_points: int) -> Cuts:
             break
         sizes = _with_box(points, cuts).groupBy("box").count().where(F.col("count") > 4 * box_points)
         crowded = {row["box"]: row["count"] for row in sizes.collect()}
-    return cuts
+    return cuts, box_points
 
 
 def _with_box(points: DataFrame, cuts: Cuts) -> DataFrame:
@@ -140,9 +143,9 @@ def _with_box(points: DataFrame, cuts: Cuts) -> DataFrame:
     return points.withColumn("box", box("x"))
 
 
-def nearest_positions(points: DataFrame, k: int, box_points: int = BOX_POINTS) -> DataFrame:
+def nearest_positions(points: DataFrame, k: int, box_points: int | None = None) -> DataFrame:
     """(`pos`, `near`, `d2`): each position's k nearest other positions by squared distance, ties by `pos`."""
-    cuts = _cut_space(points, box_points)
+    cuts, box_points = _cut_space(points, box_points)
     boxed = _with_box(points.select("pos", "x"), cuts)
     answer = "pos long, near long, d2 double"
 

@@ -8,8 +8,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Ranges used to number rows; each holds about 1/RANGES of them.
-RANGES = 1000
+# Rows per range when rows are numbered, and the most ranges used.
+RANGE_ROWS = 2_000_000
+MAX_RANGES = 20_000
 
 
 def bind_by_key(frames: list[DataFrame], key: str) -> DataFrame:
@@ -23,11 +24,12 @@ def with_position(frame: DataFrame, order: str, name: str = "position") -> DataF
     Rows fall into ranges of about equal size; the number is the row's place in its range plus the size of all
     ranges before it. No task sees more than one range, and a repeated task gives the same numbers.
     """
-    cuts = frame.approxQuantile(order, [i / RANGES for i in range(1, RANGES)], 0.1 / RANGES)
+    ranges = min(MAX_RANGES, frame.count() // RANGE_ROWS + frame.sparkSession.sparkContext.defaultParallelism)
+    cuts = frame.approxQuantile(order, [i / ranges for i in range(1, ranges)], 0.1 / ranges)
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol="_order", outputCol="_range", handleInvalid="keep").transform(
         frame.withColumn("_order", F.col(order).cast("double")))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most RANGES + 1 rows
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most MAX_RANGES + 1 rows
     offsets = ranged.groupBy("_range").agg(F.count("*").alias("_rows")).select(
         "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     place = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1

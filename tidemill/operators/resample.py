@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators.neighbors import BOX_POINTS, nearest_positions, positions
+from tidemill.operators.neighbors import nearest_positions, positions
 from tidemill.operators.premiums import with_position
 from tidemill.operators.skew import join_state
 
@@ -39,7 +39,7 @@ def class_counts(frame: DataFrame, label: str) -> DataFrame:
 
 
 def synthetic_rows(frame: DataFrame, key: str, features: Sequence[str], label: str, k: int = NEIGHBOURS,
-                   seed: int = SEED, box_points: int = BOX_POINTS) -> DataFrame:
+                   seed: int = SEED, box_points: int | None = None) -> DataFrame:
     """New rows of the rarer of two classes, as many as it lacks: (`base`, `copy`, features..., label).
 
     A new row lies between a rare row and one of its k nearest rare rows. Rare rows take turns in key order; which
@@ -88,7 +88,7 @@ def synthetic_rows(frame: DataFrame, key: str, features: Sequence[str], label: s
 
 
 def oversample(frame: DataFrame, key: str, features: Sequence[str], label: str, k: int = NEIGHBOURS,
-               seed: int = SEED, box_points: int = BOX_POINTS) -> DataFrame:
+               seed: int = SEED, box_points: int | None = None) -> DataFrame:
     """Features and label of all rows plus the synthetic ones; both classes end up with the same count."""
     columns = [*[F.col(f).cast("double").alias(f) for f in features], F.col(label)]
     added = synthetic_rows(frame, key, features, label, k, seed, box_points)

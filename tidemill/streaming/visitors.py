@@ -52,12 +52,12 @@ class _VisitorDay(StatefulProcessor):
         held = self._day.get() if self._day.exists() else None
         claims = (records["is_new"] == "1").to_numpy(dtype=bool)
         remembered = float("nan") if held is None else float(held[0])
-        refuted, day = repair_days(records["_day"].to_numpy(dtype=float), claims, remembered, self._mode)
+        refuted, day = repair_days(records["day_number"].to_numpy(dtype=float), claims, remembered, self._mode)
         touched = (~claims).any() if self._mode == "as_written" else False
         if not np.isnan(day) and (held is None or day != remembered or touched):
             self._day.update((int(day),))
         records.loc[refuted, "is_new"] = "0"
-        yield records.drop(columns="_day")
+        yield records.drop(columns="day_number")
 
     def close(self) -> None:
         pass
@@ -72,7 +72,7 @@ def repair_visitor_stream(logs: DataFrame, order: Sequence[str] = ("ts",), mode:
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    dated = logs.withColumn("_day", F.unix_date(ts_to_day("ts", zone)).cast("long"))
+    dated = logs.withColumn("day_number", F.unix_date(ts_to_day("ts", zone)).cast("long"))
     return dated.groupBy("mid").transformWithStateInPandas(
         statefulProcessor=_VisitorDay(order, mode, ttl_ms),
         outputStructType=logs.schema,
