@@ -176,8 +176,9 @@ def nearest_positions(points: DataFrame, k: int, box_points: int | None = None)
     # A box that many points ask is answered in several parts, each with a copy of the box's points.
     sizes = requests.groupBy("box").agg(F.ceil(F.count("*") / F.lit(4 * box_points)).cast("int").alias("parts"))
     requests = requests.join(F.broadcast(sizes), "box")  # one row per box
-    requests = requests.withColumn("part", F.pmod(F.xxhash64("pos"), F.col("parts")).cast("int"))
-    copies = boxed.join(F.broadcast(sizes), "box").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    requests = requests.select("pos", "x", "d2", "box", F.pmod(F.xxhash64("pos"), "parts").cast("int").alias("part"))
+    held_parts = sizes.select("box", F.sequence(F.lit(0), F.col("parts") - 1).alias("held_parts"))
+    copies = boxed.join(F.broadcast(held_parts), "box").select("pos", "x", "box", F.explode("held_parts").alias("part"))
 
     def reply(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(held):
