@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.functions.parsing import parse_json
 from tidemill.operators.skew import join_lookup
 
 # The change envelope and its delete mark.
@@ -24,9 +25,7 @@ def read_changes(lines: DataFrame, strict: bool = True) -> DataFrame:
     A line that is not JSON fails the job when `strict`, and gives a row of nulls otherwise.
     """
     mode = {"mode": "FAILFAST" if strict else "PERMISSIVE"}
-    envelope = F.from_json("value", ENVELOPE, mode)
-    kept = [c for c in lines.columns if c != "value"]
-    return lines.select(*kept, envelope.alias("_envelope")).select(*kept, "_envelope.*")
+    return parse_json(lines, ENVELOPE, mode)
 
 
 def clean_changes(changes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -85,16 +84,16 @@ def route_changes(changes: DataFrame, routes: DataFrame) -> DataFrame:
     Changes of a table that is not configured are dropped. `routes` has one row per source table.
     """
     tagged = changes.select("*", source_table().alias("source_table"), image().alias("_image"))
-    routed = join_lookup(tagged, routes, "source_table")
+    wanted = routes.withColumn("_wanted", F.split("sink_columns", r"\s*,\s*"))
+    routed = join_lookup(tagged, wanted, "source_table")
     members = F.try_parse_json("_image").try_cast("map<string,variant>")
-    wanted = F.split("sink_columns", r"\s*,\s*")
     return routed.withColumn("_members", members).select(
         *[c for c in changes.columns if c not in ("before", "after", "source")],
         "source_table",
         "sink_table",
         F.col("_members")[F.col("row_key")].try_cast("string").alias("row_key"),
         F.to_json(F.to_variant_object(
-            F.map_filter("_members", lambda k, v: F.array_contains(wanted, k)))).alias("payload"),
+            F.map_filter("_members", lambda k, v: F.array_contains("_wanted", k)))).alias("payload"),
     )
 
 

@@ -15,7 +15,7 @@ from tidemill.operators.resample import SEED
 from tidemill.session import checkpoint_dir
 
 
-def _fit(train: DataFrame, features: Sequence[str], classifier) -> PipelineModel:
+def _fit(train: DataFrame, features: Sequence[str], label: str, classifier) -> PipelineModel:
     """Fit on a frame that is computed once; a lost part of it is computed again from its lineage."""
     checkpoint_dir(train.sparkSession)
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
@@ -29,14 +29,14 @@ def _fit(train: DataFrame, features: Sequence[str], classifier) -> PipelineModel
 def fit_boosted(train: DataFrame, features: Sequence[str], label: str, rounds: int = 20, depth: int = 5,
                 step: float = 0.1, seed: int = SEED) -> PipelineModel:
     """Gradient-boosted trees. Node ids are checkpointed every ten rounds, so a lost executor costs ten at most."""
-    return _fit(train, features, GBTClassifier(
+    return _fit(train, features, label, GBTClassifier(
         featuresCol="_features", labelCol=label, predictionCol="prediction", maxIter=rounds, maxDepth=depth,
         stepSize=step, seed=seed, checkpointInterval=10, cacheNodeIds=True))
 
 
 def fit_tree(train: DataFrame, features: Sequence[str], label: str, depth: int = 10, seed: int = SEED) -> PipelineModel:
     """One decision tree."""
-    return _fit(train, features, DecisionTreeClassifier(
+    return _fit(train, features, label, DecisionTreeClassifier(
         featuresCol="_features", labelCol=label, predictionCol="prediction", maxDepth=depth, seed=seed,
         checkpointInterval=10, cacheNodeIds=True))
 

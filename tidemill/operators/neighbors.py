@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.session import checkpoint_dir
+
 # Points per box: at least BOX_POINTS, more once that would take over MAX_BOXES boxes (the cuts go to every task).
 BOX_POINTS = 2_000
 MAX_BOXES = 100_000
@@ -49,6 +51,9 @@ class Cuts:
         self.split(first, sample[below], parts // 2)
         self.split(first + 1, sample[~below], parts - parts // 2)
 
+    def boxes(self) -> int:
+        return (len(self.axis) + 1) // 2
+
     def box_of(self, points: np.ndarray) -> np.ndarray:
         axis, at, low = np.array(self.axis), np.array(self.at), np.array(self.low)
         node = np.zeros(len(points), dtype=np.int64)
@@ -145,8 +150,13 @@ def _with_box(points: DataFrame, cuts: Cuts) -> DataFrame:
 
 def nearest_positions(points: DataFrame, k: int, box_points: int | None = None) -> DataFrame:
     """(`pos`, `near`, `d2`): each position's k nearest other positions by squared distance, ties by `pos`."""
+    checkpoint_dir(points.sparkSession)
     cuts, box_points = _cut_space(points, box_points)
-    boxed = _with_box(points.select("pos", "x"), cuts)
+    # One task per box up to the cluster's size, whatever the few bytes of a box suggest to the adaptive planner.
+    tasks = min(cuts.boxes(), max(points.sparkSession.sparkContext.defaultParallelism,
+                                  int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    # Read several times below, and dear to compute again: kept as checkpoints in the shared folder.
+    boxed = _with_box(points.select("pos", "x"), cuts).repartition(tasks, "box").checkpoint()
     answer = "pos long, near long, d2 double"
 
     def inside(group: pd.DataFrame) -> pd.DataFrame:
@@ -155,8 +165,8 @@ def nearest_positions(points: DataFrame, k: int, box_points: int | None = None)
         rows, cols, d2 = _closest(x, x, k, own=np.arange(len(x)))
         return pd.DataFrame({"pos": pos[rows], "near": pos[cols], "d2": d2})
 
-    local = boxed.groupBy("box").applyInPandas(inside, answer)
-    if len(cuts.axis) == 1:
+    local = boxed.repartition(tasks, "box").groupBy("box").applyInPandas(inside, answer).checkpoint()
+    if cuts.boxes() == 1:
         return local
     reach = local.groupBy("pos").agg(F.count("*").alias("n"), F.max("d2").alias("d2"))
     reach = reach.select("pos", F.when(F.col("n") >= k, F.col("d2")).alias("d2"))
@@ -187,6 +197,7 @@ def nearest_positions(points: DataFrame, k: int, box_points: int | None = None)
         rows, cols, d2 = _closest(_matrix(asked["x"]), _matrix(held["x"]), k, within=asked["d2"].to_numpy())
         return pd.DataFrame({"pos": asked["pos"].to_numpy()[rows], "near": held["pos"].to_numpy()[cols], "d2": d2})
 
-    others = requests.groupBy("box", "part").cogroup(copies.groupBy("box", "part")).applyInPandas(reply, answer)
+    asked = requests.repartition(tasks, "box", "part").groupBy("box", "part")
+    others = asked.cogroup(copies.repartition(tasks, "box", "part").groupBy("box", "part")).applyInPandas(reply, answer)
     rank = F.row_number().over(Window.partitionBy("pos").orderBy("d2", "near"))
     return local.unionByName(others).withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")

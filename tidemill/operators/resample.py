@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.operators.neighbors import nearest_positions, positions
 from tidemill.operators.premiums import with_position
 from tidemill.operators.skew import join_state
+from tidemill.session import checkpoint_dir
 
 # Seed, test share 1 / TEST_PARTS, neighbours used for balancing.
 SEED = 42
@@ -53,7 +54,8 @@ def synthetic_rows(frame: DataFrame, key: str, features: Sequence[str], label: s
         return frame.select(F.col(key).alias("base"), F.lit(1).cast("long").alias("copy"),
                             *[F.col(f).cast("double").alias(f) for f in features], label).limit(0)
     minority = frame.where(F.col(label) == rare).select(key, *features)
-    places = positions(minority, key, features, k)
+    checkpoint_dir(frame.sparkSession)
+    places = positions(minority, key, features, k).checkpoint()  # read several times below
     pairs = nearest_positions(places, k, box_points)
     target = places.select(F.col("pos").alias("near"), F.col("x").alias("near_x"), F.slice("members", 1, k).alias("ids"))
     others = pairs.join(target, "near").select(

@@ -29,12 +29,15 @@ def spread(frame: DataFrame) -> DataFrame:
     return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "ts"))
+
+
 def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their millisecond time `ts_ms` and the product searched for, one part per event in turn."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     parts = table(spark, sf_dir, "part").agg(F.count("*").alias("n"))
-    events = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "ts"))
-    events = events.withColumn("ts_ms", millis_of_utc("ts"))
+    events = _events(spark, sf_dir).withColumn("ts_ms", millis_of_utc("ts"))
     return events.join(part, F.pmod("event_id", parts.scalar()) == F.col("p_partkey")).drop("p_partkey")
 
 
@@ -88,7 +91,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     image = F.struct("user_id", "event_type", "value")
     op = F.when(kind == "signup", "c").when(kind == "error", "d").otherwise("u")
     source = F.when(kind == "signup", "user_info").when(kind == "purchase", "order_info").otherwise("other")
-    return table(spark, sf_dir, "events").select(F.to_json(F.struct(
+    return _events(spark, sf_dir).select(F.to_json(F.struct(
         F.when(op == "d", image).alias("before"),
         F.when(op != "d", image).alias("after"),
         F.struct(F.lit("shop").alias("db"), source.alias("table"), F.col("event_id").alias("pos")).alias("source"),
@@ -107,7 +110,7 @@ def config_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("user_id").alias("row_key"),
     )
     removed = F.col("value") < 0.5
-    return table(spark, sf_dir, "events").select(F.to_json(F.struct(
+    return _events(spark, sf_dir).select(F.to_json(F.struct(
         F.when(removed, row).alias("before"),
         F.when(~removed, row).alias("after"),
         F.struct(F.lit("shop_config").alias("db"), F.lit("table_process").alias("table"),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.functions.parsing import parse_json
 from tidemill.operators.changes import ENVELOPE, source_table
 from tidemill.operators.keywords import with_event_time, with_zero_watermark
 
@@ -39,8 +40,7 @@ def file_lines(spark: SparkSession, path: str, streaming: bool = False, files_pe
 
 def json_table(spark: SparkSession, lines: DataFrame, schema: str, view: str) -> DataFrame:
     """Publish JSON lines under a schema as a SQL view, and return `SELECT *` of it."""
-    parsed = lines.select(F.from_json("value", schema).alias("row")).select("row.*")
-    parsed.createOrReplaceTempView(view)
+    parse_json(lines.select("value"), schema).createOrReplaceTempView(view)
     return spark.sql(f"SELECT * FROM {view}")
 
 
@@ -51,8 +51,7 @@ def change_table(spark: SparkSession, lines: DataFrame, view: str = "topic_db")
 
 def page_log_table(lines: DataFrame) -> DataFrame:
     """Page log with maps, event time `et`, and on a stream a watermark that allows no lateness."""
-    parsed = lines.select(F.from_json("value", PAGE_LOG).alias("row")).select("row.*")
-    timed = with_event_time(parsed)
+    timed = with_event_time(parse_json(lines.select("value"), PAGE_LOG))
     return with_zero_watermark(timed) if timed.isStreaming else timed
 
 
