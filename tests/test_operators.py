@@ -29,6 +29,21 @@ def test_join_state_with_hot_keys(spark, hot_rows):
     assert joined == {(r.id, r.k, tops.get(r.k)) for r in facts.collect()}
 
 
+def test_join_state_spreads_a_hot_key(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        facts = spark.range(1000).select(F.when(F.col("id") < 900, 0).otherwise(F.col("id")).alias("k"), "id")
+        state = facts.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+        joined = join_state(facts, state, "k", "n", hot_rows=500).withColumn("task", F.spark_partition_id())
+        sizes = joined.where("k = 0").groupBy("task").agg(F.count("*").alias("n")).collect()
+        assert len(sizes) > 2 and max(r.n for r in sizes) < 500
+        assert joined.where("k = 0 AND top = 899").count() == 900
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.mark.parametrize("rows", [1, 1000])
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_join_lookup_small_and_big(spark, rows, how):

@@ -54,8 +54,10 @@ def join_state(facts: DataFrame, state: DataFrame, keys: str | list[str], weight
     fields = [c for c in state.columns if c not in (*keys, weight)]
     packed = state.select(*keys, F.struct(*fields).alias("_state"), F.col(weight).alias("_weight"))
     hot = packed.where(F.col("_weight") >= hot_rows).select(*keys, F.col("_state").alias("_hot"))
+    # Zero, but not a literal: the optimiser would take a literal out of the join key, and the salt with it.
+    zero = F.least(F.col("_weight"), F.lit(0).cast("long"))
     cold = packed.where(F.col("_weight") < hot_rows).select(
-        *keys, F.lit(0).cast("long").alias("_salt"), F.col("_state").alias("_cold"))
+        *keys, zero.alias("_salt"), F.col("_state").alias("_cold"))
     marked = facts.join(F.broadcast(hot), keys, "left")
     marked = marked.withColumn("_salt", F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(_row_salt(facts)))
     joined = marked.join(cold, [*keys, "_salt"], "left")

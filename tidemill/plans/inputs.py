@@ -136,11 +136,16 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("n_name").alias("dic_name"), F.col("n_regionkey").cast("string").alias("parent_code")).alias("info"))
 
 
+def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numeric columns of the order lines."""
+    return spread(table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+
+
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with a 0/1 label (`response`: returned) and the order's priority and status."""
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-        "l_linestatus")
+        "l_linestatus"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey").withColumn(
         "response", (F.col("l_returnflag") == "R").cast("int"))

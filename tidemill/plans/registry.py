@@ -395,7 +395,7 @@ def frame_info(spark, sf_dir):
 
 @query
 def describe_numeric(spark, sf_dir):
-    return _rounded(P.describe_numeric(I.table(spark, sf_dir, "lineitem"), NUMBERS), 4)
+    return _rounded(P.describe_numeric(I.line_numbers(spark, sf_dir), NUMBERS), 4)
 
 
 @query
@@ -410,7 +410,7 @@ def distinct_values(spark, sf_dir):
 
 @query
 def iqr_bounds(spark, sf_dir):
-    return _rounded(P.iqr_bounds(I.table(spark, sf_dir, "lineitem"), NUMBERS))
+    return _rounded(P.iqr_bounds(I.line_numbers(spark, sf_dir), NUMBERS))
 
 
 @query
