@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import metrics as M
 from tidemill.operators import premiums as R
 from tidemill.operators import profile as P
+from tidemill.operators import quantiles as Q
 from tidemill.operators import resample as S
 from tidemill.operators import stats as A
 from tidemill.operators.neighbors import nearest_positions, positions
@@ -39,6 +40,9 @@ def test_join_state_spreads_a_hot_key(spark):
         sizes = joined.where("k = 0").groupBy("task").agg(F.count("*").alias("n")).collect()
         assert len(sizes) > 2 and max(r.n for r in sizes) < 500
         assert joined.where("k = 0 AND top = 899").count() == 900
+        copies = facts.select("k").repartition(8)
+        spread = join_state(copies, state, "k", "n", hot_rows=500).withColumn("task", F.spark_partition_id())
+        assert spread.where("k = 0 AND top = 899").select("task").distinct().count() > 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
@@ -73,6 +77,14 @@ def test_exact_quantiles(spark, accuracy, shape):
         assert r.value == pytest.approx(float(np.median(values[r.g::3])), rel=1e-12)
 
 
+def test_quantiles_of_groups_too_many_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(Q, "fits_broadcast", lambda state: False)
+    values = np.random.default_rng(6).integers(0, 40, 3000).astype(float)
+    frame = spark.createDataFrame([(float(v), i % 7) for i, v in enumerate(values)], "v double, g int")
+    for r in exact_quantiles(frame, ["v"], [0.5], ["g"], accuracy=50).collect():
+        assert r.value == float(np.median(values[r.g::7]))
+
+
 def test_quantiles_of_tiny_groups(spark):
     frame = spark.createDataFrame([(1.0, "a"), (3.0, "b"), (4.0, "b")], "v double, g string")
     assert {r.g: r.value for r in exact_quantiles(frame, ["v"], [0.25], ["g"]).collect()} == {"a": 1.0, "b": 3.25}

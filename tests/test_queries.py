@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from tidemill.session import settings_for
 
 DATA = "/root/testdata/sf0.001"
 NO_SQL = {"boosted_classifier", "tree_classifier"}
@@ -63,3 +64,19 @@ def test_models_learn_something(spark):
     scored = driver.queries()["tree_classifier"](spark, DATA).toPandas()
     found = scored[scored.response == 1].prediction.mean()
     assert found > scored[scored.response == 0].prediction.mean() + 0.2
+
+
+@pytest.mark.parametrize("name", ["keyword_window_count", "visitor_repair", "date_helpers", "cdc_upsert_latest", "event_time"])
+def test_results_do_not_depend_on_the_session_zone(spark, tables, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        test_query(spark, tables, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_settings_grow_with_the_input():
+    small, large = settings_for(10**9), settings_for(100 * 10**12)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(large["spark.sql.shuffle.partitions"]) > 700_000

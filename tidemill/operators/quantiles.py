@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.skew import join_state
+from tidemill.operators.skew import fits_broadcast, join_state
+from tidemill.session import checkpoint_dir
 
 ACCURACY = 50_000
 
@@ -48,9 +49,12 @@ def exact_quantiles(frame: DataFrame, columns: Sequence[str], probabilities: Seq
     ])
     state = sketch.select(*keys, "rows", F.col("rows").alias("n"), brackets.alias("brackets"))
     if by:
-        placed = join_state(cells, state, keys, "rows")
-    else:  # one row per column
+        checkpoint_dir(frame.sparkSession)
+        state = state.checkpoint()  # one row per group; its size decides how the brackets reach the rows
+    if not by or fits_broadcast(state):
         placed = cells.join(F.broadcast(state.drop("rows")), keys)
+    else:
+        placed = join_state(cells, state, keys, "rows")
     inside = F.when(F.col("value") >= F.col("b.from"), F.col("value"))
     counted = (
         placed.select(*keys, "n", "value", F.explode("brackets").alias("b"))

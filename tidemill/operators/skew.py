@@ -66,6 +66,7 @@ def join_state(facts: DataFrame, state: DataFrame, keys: str | list[str], weight
 
 
 def _row_salt(frame: DataFrame) -> Column:
-    """A non-zero salt that depends only on the row, so a repeated task gives the same one."""
+    """A non-zero salt from the row and its partition: copies of one row spread as well, and a task that is run
+    again gives the same salts."""
     hashable = [f.name for f in frame.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    return F.xxhash64(*hashable).bitwiseOR(F.lit(1))
+    return F.xxhash64(*hashable, F.spark_partition_id()).bitwiseOR(F.lit(1))

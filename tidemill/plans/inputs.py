@@ -66,10 +66,10 @@ def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "error", F.lit("sku_id")).otherwise(F.lit("keyword")).alias("item_type"),
         F.when(kind == "error", F.lit("home")).otherwise(F.lit("search")).alias("last_page_id"),
     ))
-    displays = F.transform(F.slice(F.array(*map(F.lit, (0, 1, 2))), F.lit(1), F.pmod(number, F.lit(4)).cast("int")),
-                           lambda i: F.struct(i.alias("pos"), F.col("p_name").alias("item")))
-    actions = F.transform(F.slice(F.array(*map(F.lit, (0, 1))), F.lit(1), F.pmod(number, F.lit(3)).cast("int")),
-                          lambda i: F.struct(i.alias("action_no"), kind.alias("action_id")))
+    shown = F.array(*[F.struct(F.lit(i).alias("pos"), F.col("p_name").alias("item")) for i in range(3)])
+    displays = F.slice(shown, F.lit(1), F.pmod(number, F.lit(4)).cast("int"))
+    done = F.array(*[F.struct(F.lit(i).alias("action_no"), kind.alias("action_id")) for i in range(2)])
+    actions = F.slice(done, F.lit(1), F.pmod(number, F.lit(3)).cast("int"))
     line = F.to_json(F.struct(
         F.struct(F.col("user_id").cast("string").alias("mid"), is_new.alias("is_new"),
                  number.alias("seq")).alias("common"),

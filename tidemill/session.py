@@ -27,6 +27,22 @@ def local_session(name: str = "tidemill", cpus: str | None = None) -> SparkSessi
     return spark
 
 
+def settings_for(input_bytes: int) -> dict[str, str]:
+    """Session settings for an input of this size: about 128 MB per shuffle partition, which the adaptive planner may
+    merge but never splits, larger scan splits, skewed joins split, stream state in RocksDB.
+    """
+    partitions = max(200, -(-input_bytes // (128 * 1024 * 1024)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 

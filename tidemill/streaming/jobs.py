@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemill.functions.dates import SHOP_ZONE
+from tidemill.functions.text import tokens
 from tidemill.operators import changes as C
 from tidemill.operators import keywords as K
 from tidemill.operators import logs as L
@@ -33,10 +34,10 @@ def _writer(frame: DataFrame, checkpoint: str, until_done: bool) -> DataStreamWr
     return writer.trigger(availableNow=True) if until_done else writer.trigger(processingTime=CHECKPOINT_INTERVAL)
 
 
-def keyword_stream(lines: DataFrame, zone: str = SHOP_ZONE) -> DataFrame:
+def keyword_stream(lines: DataFrame, zone: str = SHOP_ZONE, tokenizer=tokens) -> DataFrame:
     """Page-log lines -> finished keyword windows. A window comes out once the watermark has passed its end, so the
     last one waits for newer events."""
-    return K.keyword_window_count(page_log_table(lines), zone=zone)
+    return K.keyword_window_count(page_log_table(lines), tokenizer, zone=zone)
 
 
 def keyword_job(lines: DataFrame, path: str, checkpoint: str, until_done: bool = False) -> DataStreamWriter:
