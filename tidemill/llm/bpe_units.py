@@ -9,6 +9,7 @@ whole encoder instead, so that the ids are the library's in every case.
 from __future__ import annotations
 
 import os
+import re
 from array import array
 
 import numpy as np
@@ -20,7 +21,8 @@ BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 
 CACHE_WORDS = 600_000
 _USUAL = regex.compile(r"[\n !-~À-ÖØ-öø-ÿ]*")
-_UNEVEN = regex.compile(r"[\s\x1c-\x1f]{2}|^[\s\x1c-\x1f]|[\s\x1c-\x1f]$|\x00")
+_RUNS = re.compile(r"[\s\x1c-\x1f]{3}|[\s\x1c-\x1f]{2}$|\x00")
+_MARKS = frozenset(".,!?;:|#%&*$")
 
 
 def byte_letters() -> list[str]:
@@ -52,24 +54,20 @@ class UnitEncoder:
         self.model, self.spaced = self.tokenizer.model, spaced
         self.pattern = regex.compile(BYTE_PATTERN if spaced else WORD_PATTERN)
         self.letters = dict(enumerate(byte_letters()))
-        self.words: dict = {}
+        self.words = _Words(self)
 
     def encode(self, text: str) -> bytes:
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
+        words = self.words
+        if len(words) > CACHE_WORDS:
+            words.clear()
         if not self.spaced:
-            units = text.encode().split()
-        elif _UNEVEN.search(text):
+            return b"".join([words[u] for u in text.encode().split()])
+        # A word takes the space before it along, a line break stands alone. Only white space of three characters or
+        # more, or of two at the end, would be cut differently; where every gap is one character there is none.
+        plain = text.split()
+        if (len(text) - sum(map(len, plain)) != len(plain) - 1 or "\0" in text) and _RUNS.search(text):
             return self._whole(text)
-        else:
-            units = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
-        words = self.words
-        try:
-            return b"".join([words[u] for u in units])
-        except KeyError:
-            for unit in set(units).difference(words):
-                words[unit] = self._unit(unit if self.spaced else unit.decode())
-            return b"".join([words[u] for u in units])
+        return b"".join([words[u] for u in text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")])
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
@@ -78,8 +76,13 @@ class UnitEncoder:
         space, word = ("\u0120", unit[1:]) if unit[:1] == " " else ("", unit)
         if not self.spaced:
             word = word.lower() if word.isascii() else word
-        if word.isascii() and word.isalpha():
-            return array("H", [t.id for t in self.model.tokenize(space + word)]).tobytes()
+        if word.isalpha():
+            if word.isascii():
+                return array("H", [t.id for t in self.model.tokenize(space + word)]).tobytes()
+        elif word[-1:] in _MARKS and word[:-1].isalpha() and (word.isascii() or _USUAL.fullmatch(word)):
+            # Letters and one mark: two pieces, and the word without the mark is worth remembering.
+            mark = array("H", [t.id for t in self.model.tokenize(word[-1])]).tobytes()
+            return self.words[unit[:-1] if self.spaced else word[:-1].encode()] + mark
         if not _USUAL.fullmatch(unit) or "<|" in unit:
             return self._whole(unit)
         ids = array("H")
@@ -88,6 +91,18 @@ class UnitEncoder:
         return ids.tobytes()
 
 
+class _Words(dict):
+    """Ids by word; a word that is asked for the first time is encoded."""
+
+    def __init__(self, encoder: UnitEncoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, unit: str | bytes) -> bytes:
+        ids = self[unit] = self.encoder._unit(unit if isinstance(unit, str) else unit.decode())
+        return ids
+
+
 _READY: dict = {}
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe_ranks, packing, token_files
+from tidemill.llm import bpe_ranks, host_reputation, packing, secret_scan, token_files
 from tidemill.plans.inputs import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,11 +19,22 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: The rules of the page query.
+PAGE_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
+              ("allow", "org", "/fr/")]
+
+
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
     return function
 
 
+@query
+def op2_secrets(spark, sf_dir):
+    """Spans of secrets in all documents."""
+    return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
+
+
 @query
 def op3_packing(spark, sf_dir):
     """Pieces of all documents in windows of 4096 ids."""
@@ -42,3 +53,70 @@ def op7_token_files(spark, sf_dir):
 def op9_bpe(spark, sf_dir):
     """Ids and decoded text of all documents, as digests."""
     return bpe_ranks.digest_documents(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+@query
+def op10_host_reputation(spark, sf_dir):
+    """Verdict for every page: the longest rule, else its host's reputation; a page of low quality is a bad outcome."""
+    labels = table(spark, sf_dir, "labels")
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).cast("long").alias("bad"))
+    judged = host_reputation.judge(table(spark, sf_dir, "pages"), outcomes, PAGE_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.col("n").alias("host_outcomes"),
+                         F.col("k").alias("host_bad"))
+
+
+ORACLE_SQL["op10_host_reputation"] = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substring(url, strpos(url, '://') + 3) END AS rest FROM pages),
+named AS (
+  SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM cut),
+seen AS (
+  SELECT doc_id AS page_id, count(*) AS n, sum(1 - quality) AS k FROM labels
+  WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+counted AS (
+  SELECT host, coalesce(sum(n), 0) AS n, coalesce(sum(k), 0) AS k FROM named LEFT JOIN seen USING (page_id) GROUP BY host),
+labels_of AS (
+  SELECT *, regexp_replace(regexp_replace(host, '^[^@]*@', ''), '[.]?(:[0-9]*)?$', '') AS name FROM counted),
+tails AS (
+  SELECT host, n, k, name, (regexp_matches(name, '^[0-9.]+$') OR contains(name, '[')) AS numbers,
+    list_reverse(string_split(name, '.')) AS l FROM labels_of),
+hosts AS (
+  SELECT host, n, k,
+    CASE WHEN numbers THEN name WHEN list_aggregate(list_reverse(l[1:2]), 'string_agg', '.') IN ({double})
+      THEN list_aggregate(list_reverse(l[1:3]), 'string_agg', '.')
+      ELSE list_aggregate(list_reverse(l[1:2]), 'string_agg', '.') END AS domain,
+    CASE WHEN numbers THEN name WHEN list_aggregate(list_reverse(l[1:2]), 'string_agg', '.') IN ({double})
+      THEN list_aggregate(list_reverse(l[1:2]), 'string_agg', '.') ELSE l[1] END AS suffix FROM tails),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY ALL),
+suffixes AS (
+  SELECT suffix, sum(n) AS n, sum(k) AS k,
+    (SELECT CASE WHEN sum(n) > 0 THEN sum(k) / sum(n) ELSE 0.0 END FROM domains) AS m FROM domains GROUP BY suffix),
+w1 AS (SELECT 1 / least(greatest(CASE WHEN sum(n * (n - 1) * m * (1 - m)) > 0 THEN
+    sum((k - n * m) ** 2 - n * m * (1 - m)) / sum(n * (n - 1) * m * (1 - m)) ELSE 0.0 END, {low}), {high}) - 1 AS w
+  FROM suffixes),
+d AS (SELECT domain, suffix, domains.n, domains.k, (suffixes.k + w * m) / (suffixes.n + w) AS m
+  FROM domains JOIN suffixes USING (suffix), w1),
+w2 AS (SELECT 1 / least(greatest(CASE WHEN sum(n * (n - 1) * m * (1 - m)) > 0 THEN
+    sum((k - n * m) ** 2 - n * m * (1 - m)) / sum(n * (n - 1) * m * (1 - m)) ELSE 0.0 END, {low}), {high}) - 1 AS w
+  FROM d),
+h AS (SELECT host, hosts.n, hosts.k, (d.k + w * m) / (d.n + w) AS m FROM hosts JOIN d USING (domain, suffix), w2),
+w3 AS (SELECT 1 / least(greatest(CASE WHEN sum(n * (n - 1) * m * (1 - m)) > 0 THEN
+    sum((k - n * m) ** 2 - n * m * (1 - m)) / sum(n * (n - 1) * m * (1 - m)) ELSE 0.0 END, {low}), {high}) - 1 AS w
+  FROM h),
+posterior AS (SELECT host, n, k, n + w AS size, (k + w * m) / (n + w) AS rate FROM h, w3),
+bounds AS (SELECT host, n, k, rate - {spread} * sqrt(rate * (1 - rate) / (size + 1)) AS bound FROM posterior),
+rules(action, rhost, rpath) AS (VALUES {rules}),
+fitting AS (
+  SELECT page_id, host, path, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+    arg_max(action, length(rhost || rpath)) AS action
+  FROM (SELECT DISTINCT page_id, host, path FROM named)
+  JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY ALL)
+SELECT page_id, host, path, rule,
+  coalesce(action, CASE WHEN round(bound, 9) > {limit} THEN 'block' ELSE 'allow' END) AS verdict,
+  CAST(n AS BIGINT) AS host_outcomes, CAST(k AS BIGINT) AS host_bad
+FROM named JOIN bounds USING (host) LEFT JOIN fitting USING (page_id, host, path)
+""".format(double=", ".join(f"'{s}'" for s in host_reputation.DOUBLE_SUFFIXES), low=1 / (host_reputation.MOST_WEIGHT + 1),
+           high=1 / (host_reputation.LEAST_WEIGHT + 1), spread=host_reputation.SPREAD, limit=host_reputation.LIMIT,
+           rules=", ".join(str(r) for r in PAGE_RULES))
