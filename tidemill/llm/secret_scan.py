@@ -42,15 +42,16 @@ LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
 _INNER = re.compile(r"[a-z][A-Z]")
-#: Alphabets in order of size: a run takes the first that holds all its characters.
+#: Alphabets in order of size: a run takes the first that holds all its characters. Digits, capitals and small letters
+#: stand together, so that the halves of the runs test differ in kind and prose (small letters) makes a single run.
 ALPHABETS = {
     "HEX": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
     "BASE36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "base62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
-    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
-    "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+    "base64": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/",
+    "base64url": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz-_",
 }
 _PLACES = {name: {c: i for i, c in enumerate(letters)} for name, letters in ALPHABETS.items()}
 _SETS = {name: frozenset(letters) for name, letters in ALPHABETS.items()}
