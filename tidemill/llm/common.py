@@ -86,34 +86,35 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words `[^\\x20\\x09-\\x0D]+` of many texts at once, A-Z in lower case.
-
-    Returns begin and end (bytes) of each word, its text's index, and a 64-bit hash of it. The hash is the sum of the
-    word's eight-byte blocks, each mixed with its place, so equal words have equal hashes wherever they stand.
-    """
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end (bytes) of every word `[^\\x20\\x09-\\x0D]+` of many texts, and the index of its text."""
     size = len(data)
     if not size:
-        none = np.zeros(0, np.int64)
-        return none, none, none, np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     solid = np.zeros(size + 2, dtype=bool)
     solid[1:-1] = ~_SPACE[data]
     inner = offsets[(offsets > 0) & (offsets < size)]
-    edge = np.zeros(size + 2, dtype=bool)
-    edge[1:] = solid[1:] != solid[:-1]
     cut = np.zeros(size + 2, dtype=bool)
     cut[inner + 1] = solid[inner + 1] & solid[inner]
-    begin = np.flatnonzero((edge & solid) | cut) - 1
-    end = np.flatnonzero((edge & ~solid) | cut) - 1
-    owner = np.searchsorted(offsets, begin, side="right") - 1
-    return begin, end, owner, _hash_spans(data, begin, end)
+    edge = solid[1:] != solid[:-1]
+    begin = np.flatnonzero((edge & solid[1:]) | cut[1:])
+    end = np.flatnonzero((edge & ~solid[1:]) | cut[1:])
+    return begin, end, np.searchsorted(offsets, begin, side="right") - 1
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word of many texts, A-Z in lower case, and the index of its text."""
+    begin, end, owner = word_spans(data, offsets)
+    return hash_spans(data, begin, end), owner
 
 
-def _hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+def hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of stretches of bytes, A-Z in lower case: the sum of the stretch's eight-byte blocks, each mixed with
+    its place, so that equal words have equal hashes wherever they stand."""
     padded = np.zeros(len(data) + 16, dtype=np.uint8)
     padded[:len(data)] = _FOLD[data]
-    total = mix((end - begin).astype(np.uint64) + _BASE)
     length = end - begin
+    total = mix(length.astype(np.uint64) + _BASE)
     block, rows = 0, np.arange(len(begin))
     view = np.lib.stride_tricks.as_strided(padded.view(), shape=(len(data) + 8, 8), strides=(1, 1))
     while len(rows):
@@ -121,7 +122,7 @@ def _hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
         left = np.minimum(length[rows] - 8 * block, 8)
         value = np.ascontiguousarray(view[at]).view(np.uint64).ravel()
         value &= np.uint64(0xFFFFFFFFFFFFFFFF) >> ((np.uint64(8) - left.astype(np.uint64)) * np.uint64(8))
-        total[rows] += mix(value + np.uint64(block + 1) * _BASE)
+        total[rows] += mix(value + np.uint64((block + 1) * int(_BASE) % 2**64))
         block += 1
         rows = rows[length[rows] > 8 * block]
     return mix(total)

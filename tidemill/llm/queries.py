@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe_ranks, host_reputation, packing, secret_scan, token_files
+from tidemill.llm import bpe_ranks, host_reputation, packing, secret_scan, token_files, toxicity
 from tidemill.plans.inputs import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,13 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_toxicity(spark, sf_dir):
+    """Toxicity score of all documents."""
+    scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "toxic")
+
+
 @query
 def op2_secrets(spark, sf_dir):
     """Spans of secrets in all documents."""
