@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe_ranks, host_reputation, packing, secret_scan, token_files, toxicity
+from tidemill.llm import bpe_ranks, host_reputation, minhash, packing, secret_scan, token_files, toxicity
 from tidemill.plans.inputs import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,12 @@ def op3_packing(spark, sf_dir):
                          "offset")
 
 
+@query
+def op5_minhash(spark, sf_dir):
+    """Component of every document under links of 85 in 100 common shingles of three words."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, similarity=0.85)
+
+
 @query
 def op7_token_files(spark, sf_dir):
     """Ids of all documents, written as grammar-compressed shards and read back."""
