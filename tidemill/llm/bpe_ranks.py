@@ -91,7 +91,7 @@ class RankEncoder:
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """Ids (unsigned 32-bit, little-endian) and decoded text of each text."""
         if len(self.words) > CACHE_WORDS:
-            self.words.clear()
+            self.words.clear()  # a new word costs little here: many are merged at once
         units = [t.encode().split() for t in texts]
         self._learn({u for us in units for u in us}.difference(self.words))
         words = self.words

@@ -19,7 +19,7 @@ import regex
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 _USUAL = regex.compile(r"[\n !-~À-ÖØ-öø-ÿ]*")
 _RUNS = re.compile(r"[\s\x1c-\x1f]{3}|[\s\x1c-\x1f]{2}$|\x00")
 _MARKS = frozenset(".,!?;:|#%&*$")
@@ -59,7 +59,7 @@ class UnitEncoder:
     def encode(self, text: str) -> bytes:
         words = self.words
         if len(words) > CACHE_WORDS:
-            words.clear()
+            words.turn()
         if not self.spaced:
             return b"".join([words[u] for u in text.encode().split()])
         # A word takes the space before it along, a line break stands alone. Only white space of three characters or
@@ -92,16 +92,23 @@ class UnitEncoder:
 
 
 class _Words(dict):
-    """Ids by word; a word that is asked for the first time is encoded."""
+    """Ids by word; a word that is asked for the first time is encoded. Of a full cache, what is asked for again stays."""
 
     def __init__(self, encoder: UnitEncoder):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.older = encoder, {}
 
     def __missing__(self, unit: str | bytes) -> bytes:
-        ids = self[unit] = self.encoder._unit(unit if isinstance(unit, str) else unit.decode())
+        ids = self.older.get(unit)
+        if ids is None:
+            ids = self.encoder._unit(unit if isinstance(unit, str) else unit.decode())
+        self[unit] = ids
         return ids
 
+    def turn(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
 
 _READY: dict = {}
 
