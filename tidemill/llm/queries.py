@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe_ranks, host_reputation, minhash, packing, secret_scan, token_files, toxicity
+from tidemill.llm import bpe_ranks, host_reputation, imatch, minhash, packing, secret_scan, token_files, toxicity
 from tidemill.plans.inputs import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,12 @@ def op7_token_files(spark, sf_dir):
     return token_files.digest_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+@query
+def op8_imatch(spark, sf_dir):
+    """Fingerprints of all documents and of their edited texts."""
+    return imatch.compare(imatch.fingerprints(table(spark, sf_dir, "documents")))
+
+
 @query
 def op9_bpe(spark, sf_dir):
     """Ids and decoded text of all documents, as digests."""
