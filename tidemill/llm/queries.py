@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe_ranks, host_reputation, imatch, minhash, packing, secret_scan, token_files, toxicity
+from tidemill.llm import bpe_ranks, host_reputation, imatch, minhash, packing, recurrent_lm, secret_scan, stable_ann, token_files, toxicity
 from tidemill.plans.inputs import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,12 +50,25 @@ def op3_packing(spark, sf_dir):
                          "offset")
 
 
+@query
+def op4_recurrent_lm(spark, sf_dir):
+    """Log-likelihood of all documents under the recurrent model and under add-one counts."""
+    return recurrent_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_minhash(spark, sf_dir):
     """Component of every document under links of 85 in 100 common shingles of three words."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, similarity=0.85)
 
 
+@query
+def op6_stable_ann(spark, sf_dir):
+    """The 20 nearest rows of every row whose id is divisible by 20."""
+    rows = table(spark, sf_dir, "embeddings")
+    return stable_ann.nearest(rows, rows.where(F.col("vec_id") % 20 == 0), 20)
+
+
 @query
 def op7_token_files(spark, sf_dir):
     """Ids of all documents, written as grammar-compressed shards and read back."""
