@@ -28,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import documents_of, kept_table, mix, shuffle_partitions, slices, text_bytes, words_of
+from tidemill.llm.common import documents_of, fresh, kept_table, mix, shuffle_partitions, slices, text_bytes, words_of
 from tidemill.llm.components import connected_components
 
 WIDTH, SIMILARITY = 5, 0.8
@@ -280,3 +280,15 @@ def refined(texts: DataFrame, width: int, similarity: float) -> DataFrame:
                     names=["key", "node"])
 
     return texts.mapInArrow(run, "key long, node long")
+
+
+def keep_one(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of `docs`, all columns, without those that are connected to a row of smaller doc_id, and of rows with
+    one doc_id the one of least text. Rows without doc_id all stay."""
+    gone = near_duplicates(docs, width, similarity).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    place = fresh("place")
+    # The join has brought the rows of an id together already; counting them off moves nothing.
+    left = docs.where("doc_id is not null").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    first = Window.partitionBy("doc_id").orderBy("text")
+    once = left.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place)
+    return once.unionByName(docs.where("doc_id is null"))

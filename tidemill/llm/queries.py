@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tidemill.llm import bpe_ranks, host_reputation, imatch, minhash, packing, recurrent_lm, secret_scan, stable_ann, token_files, toxicity
 from tidemill.plans.inputs import table
 
+import corpus_pipeline
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -29,6 +31,12 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def pipeline(spark, sf_dir):
+    """The corpus pipeline over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 @query
 def op1_toxicity(spark, sf_dir):
     """Toxicity score of all documents."""
