@@ -1,11 +1,11 @@
 """I-Match fingerprints of documents with several randomised lexicons, in columns alone.
 
 The lexicon is the terms whose document frequency lies in a band (neither in nearly every document nor in hardly any).
-A document's distinct lexicon terms are sorted and hashed, once for each of many random subsets of the lexicon. The
+A document's distinct lexicon terms are hashed as a set, once for each of many random subsets of the lexicon. The
 subsets come in levels, each a quarter as dense as the one before, because a change of a few terms leaves most sparse
 subsets alone but nearly always hits a dense one; a long document has terms enough for the sparse levels, a short one
 for the dense ones. A fingerprint is the list of those hashes; an empty subset is marked. The likeness of two
-fingerprints is the share of equal hashes on the sparsest level of which half the subsets hold terms in either.
+fingerprints is the share of equal hashes on the sparsest level of which half the subsets hold terms in one or other.
 The first hash of a fingerprint covers the whole lexicon, as in the method's plain form.
 
 The lexicon is broadcast: it is at most `LEXICON` hashes of eight bytes, since the lower edge of the band rises (by
@@ -29,7 +29,6 @@ LEXICON = 131_072
 SUBSETS = 16
 #: Bits of a term's hash that are zero in the terms of a level: a quarter, a sixteenth and so on.
 LEVELS = (2, 4, 6, 8)
-EMPTY = -1
 _FIRST = -2**63
 
 
@@ -54,41 +53,46 @@ def lexicon(docs: DataFrame, lowest: float = LOWEST, highest: float = HIGHEST, m
     return counts.where(F.floor(F.log2("n")) >= edge).select("term")
 
 
-def fingerprint(terms: Column) -> Column:
-    """Hashes (16 bits each, `EMPTY` for a subset without terms) of sorted distinct terms: first that of all terms, then
-    for each subset those of its levels. A level's terms are taken from those of the denser one."""
-    def levels(held: Column, i: Column, bits: tuple[int, ...]) -> Column:
-        mask = F.lit((1 << bits[0]) - 1).cast("long")
-        kept = F.filter(held, lambda t: F.xxhash64(t, i).bitwiseAND(mask) == 0)
-        # An array of one names the filtered terms, so that they are looked for once.
-        return F.flatten(F.transform(F.array(kept), lambda k: F.concat(
-            F.array(F.xxhash64(k)), levels(k, i, bits[1:])) if bits[1:] else F.array(F.xxhash64(k))))
+def subset_levels(term: Column) -> Column:
+    """How many levels of each subset hold a term, three bits for each subset."""
+    packed = F.lit(0).cast("long")
+    for i in range(SUBSETS):
+        spread = F.xxhash64(term, F.lit(i))
+        held = sum((F.when(spread.bitwiseAND((1 << bits) - 1) == 0, 1).otherwise(0) for bits in LEVELS), F.lit(0))
+        packed = packed.bitwiseOR(F.shiftleft(held.cast("long"), 3 * i))
+    return packed
 
-    nothing = F.xxhash64(F.array().cast("array<long>"))
-    short = lambda hashes: F.transform(hashes, lambda h: F.when(h == nothing, EMPTY).otherwise(
-        F.pmod(h, F.lit(65_536)).cast("int")))
-    subsets = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda i: short(levels(terms, i, LEVELS)))
-    return F.concat(F.array(short(F.array(F.xxhash64(terms)))), subsets)
+
+def subset_hashes(term: Column, levels: Column) -> list[Column]:
+    """Aggregates: a hash of all distinct terms of a group, then of those on each level of each subset (null: none).
+
+    Exclusive or over the terms' hashes: it depends on the set of terms alone, which is what sorting them before a
+    hash is for, and it needs no list of them.
+    """
+    hashes = [F.bit_xor(term)]
+    for i in range(SUBSETS):
+        held = F.shiftright(levels, 3 * i).bitwiseAND(7)
+        hashes += [F.bit_xor(F.when(held > k, term)) for k in range(len(LEVELS))]
+    return hashes
 
 
 def likeness(left: Column, right: Column) -> Column:
     """Share of equal hashes on the sparsest level of which at least half the subsets hold terms; where none is, that
     of the hashes of all terms (0 if there are no terms)."""
-    sides = F.slice(F.arrays_zip(left.alias("a"), right.alias("b")), 2, SUBSETS)
-    whole = (F.get(F.get(left, F.lit(0)), F.lit(0)), F.get(F.get(right, F.lit(0)), F.lit(0)))
-    share = F.when((whole[0] == whole[1]) & (whole[0] != EMPTY), F.lit(1.0)).otherwise(F.lit(0.0))
+    at = lambda prints, i, k: F.get(prints, i * len(LEVELS) + (1 + k))
+    subsets = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
+    share = F.when(F.get(left, F.lit(0)) == F.get(right, F.lit(0)), F.lit(1.0)).otherwise(F.lit(0.0))
     for k in range(len(LEVELS)):
-        a, b = (lambda p: F.get(p["a"], F.lit(k))), (lambda p: F.get(p["b"], F.lit(k)))
-        held = F.size(F.filter(sides, lambda p: (a(p) != EMPTY) | (b(p) != EMPTY)))
-        equal = F.size(F.filter(sides, lambda p: (a(p) != EMPTY) & (a(p) == b(p))))
+        held = F.size(F.filter(subsets, lambda i: at(left, i, k).isNotNull() | at(right, i, k).isNotNull()))
+        equal = F.size(F.filter(subsets, lambda i: at(left, i, k) == at(right, i, k)))
         share = F.when(held * 2 >= SUBSETS, equal / held).otherwise(share)
     return share
 
 
 def as_text(prints: Column) -> Column:
-    """Four hexadecimal digits for each hash, four dashes for an empty subset, a dot between subsets."""
-    digits = lambda h: F.when(h == EMPTY, "----").otherwise(F.lower(F.lpad(F.hex(h), 4, "0")))
-    return F.array_join(F.transform(prints, lambda level: F.array_join(F.transform(level, digits), "")), ".")
+    """Four hexadecimal digits of each hash, four dashes for an empty subset."""
+    digits = lambda h: F.coalesce(F.lower(F.lpad(F.hex(F.pmod(h, F.lit(65_536))), 4, "0")), F.lit("----"))
+    return F.array_join(F.transform(prints, digits), "")
 
 
 def _in_order(docs: DataFrame) -> DataFrame:
@@ -119,7 +123,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     words = kept_table(lexicon(docs), "imatch-lexicon")
     # A mark that every document holds keeps those without lexicon terms.
     mark = F.lit(_FIRST).cast("long")
-    words = words.where(F.col("term") != mark).union(words.sparkSession.range(1).select(mark.alias("term")))
+    words = words.where(F.col("term") != mark).select("term", subset_levels(F.col("term")).alias("levels"))
+    words = words.union(words.sparkSession.range(1).select(mark, F.lit(0).cast("long")))
     chain = Window.partitionBy("dest").orderBy("ghost", "place", "text")
     rows = _in_order(docs).select("dest", "ghost", "doc_id", "text", F.lead("text").over(chain).alias("next"),
                                   F.row_number().over(chain).alias("rn"), F.length("text").cast("long").alias("n_chars"))
@@ -132,14 +137,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     opened = rows.select("dest", "ghost", "rn", "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                          F.inline(F.concat(sided(0, F.col("text")), sided(1, F.col("edited")))))
     held = opened.join(F.broadcast(words), "term")
-    of = lambda side: F.array_sort(F.collect_list(F.when((F.col("side") == side) & (F.col("term") != mark), F.col("term"))))
-    grouped = held.groupBy("dest", "rn").agg(F.first("ghost").alias("ghost"), F.first("doc_id").alias("doc_id"),
-                                             F.first("n_chars").alias("n_chars"), F.first("edited_sha256").alias("edited_sha256"),
-                                             of(0).alias("terms"), of(1).alias("edited_terms"))
-    printed = grouped.select("dest", "rn", "ghost", "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("terms")).alias("print"),
-                             F.when(F.col("ghost"), F.lit(None)).otherwise(fingerprint(F.col("edited_terms"))).alias("edited_print"))
-    follow = Window.partitionBy("dest").orderBy("rn")
-    return printed.withColumn("next_print", F.lead("print").over(follow)).where(~F.col("ghost")).drop("dest", "rn", "ghost")
+    term = F.when(F.col("term") != mark, F.col("term"))
+    keys = ("dest", "rn", "side", "ghost", "doc_id", "n_chars", "edited_sha256")
+    hashes = [h.alias(f"h{i}") for i, h in enumerate(subset_hashes(term, F.col("levels")))]
+    printed = held.groupBy(*keys).agg(*hashes).select(*keys, F.array(*[f"h{i}" for i in range(len(hashes))]).alias("print"))
+    # Each document has two rows, its text's and its edited text's; its successor's follow.
+    follow = Window.partitionBy("dest").orderBy("rn", "side")
+    lined = printed.withColumn("edited_print", F.lead("print", 1).over(follow)).withColumn("next_print", F.lead("print", 2).over(follow))
+    return lined.where((F.col("side") == 0) & ~F.col("ghost")).select(
+        "doc_id", "n_chars", "edited_sha256", "print", "edited_print", "next_print")
 
 
 def compare(prints: DataFrame) -> DataFrame:
