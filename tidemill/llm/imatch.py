@@ -131,10 +131,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")),
                       F.substring(F.coalesce("next", F.lit("")), F.lit(1), cut))
-    rows = rows.withColumn("edited", edited)
+    # The digest stands below the Generate: beside it, it would be taken again for every term.
+    rows = rows.withColumn("edited", edited).withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
     sided = lambda side, text: F.transform(F.array_append(term_hashes(text), mark), lambda t: F.struct(
         F.lit(side).alias("side"), t.alias("term")))
-    opened = rows.select("dest", "ghost", "rn", "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+    opened = rows.select("dest", "ghost", "rn", "doc_id", "n_chars", "edited_sha256",
                          F.inline(F.concat(sided(0, F.col("text")), sided(1, F.col("edited")))))
     held = opened.join(F.broadcast(words), "term")
     term = F.when(F.col("term") != mark, F.col("term"))
