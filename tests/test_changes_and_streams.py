@@ -48,6 +48,9 @@ def test_latest_images_break_ties_by_position(spark):
                           F.get_json_object("image", "$.name").alias("name"))
     last = C.latest_images(rows, "id", ["ts_ms", "position"], ["name"])
     assert {r.id: r.name for r in last.collect()} == {"1": "y", "11": "i"}
+    lost = rows.withColumn("id", F.lit(None).cast("string"))
+    assert C.latest_images(lost, "id", ["ts_ms", "position"], ["name"]).count() == 0
+    assert C.unkeyed_changes(lost, "id").count() == rows.count()
 
 
 def _config(spark, rows):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators import metrics as M
+from tidemill.operators import models
 from tidemill.operators import premiums as R
 from tidemill.operators import profile as P
 from tidemill.operators import quantiles as Q
@@ -60,6 +61,46 @@ def test_join_lookup_small_and_big(spark, rows, how):
     assert fits_broadcast(lookup, rows) == (rows >= 4)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_lookup_spreads_absent_and_null_hot_keys(spark, how):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        key = F.when(F.col("id") % 3 == 0, 77).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id") % 5)
+        facts = spark.range(1200).select(key.cast("long").alias("k"), "id")
+        lookup = spark.createDataFrame([(0, "a"), (1, "b"), (9, "z")], "k long, name string")
+        joined = join_lookup(facts, lookup, "k", how, rows=1, hot_rows=300)
+        names = {0: "a", 1: "b"}
+        known = {r.id: names.get(r.k) for r in facts.collect() if how == "left" or r.k in names}
+        assert {r.id: r.name for r in joined.collect()} == known
+        if how == "left":
+            tasks = joined.groupBy("k", F.spark_partition_id().alias("task")).count()
+            hot = tasks.where("k is null or k = 77").groupBy("k").agg(F.max("count").alias("most")).collect()
+            assert len(hot) == 2 and all(r.most < 200 for r in hot)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_predict_keeps_rows_with_missing_features(spark):
+    train = spark.createDataFrame([(float(i), int(i > 20)) for i in range(40)], "x double, y int")
+    model = models.fit_tree(train, ["x"], "y")
+    asked = spark.createDataFrame([(1, 3.0), (2, None), (3, float("nan")), (4, 30.0)], "id int, x double")
+    assert {r.id: r.prediction for r in models.predict(model, asked).collect()} == {1: 0, 2: None, 3: None, 4: 1}
+    with pytest.raises(Exception):
+        models.fit_tree(train.union(spark.createDataFrame([(None, 1)], "x double, y int")), ["x"], "y")
+
+
+def test_balancing_refuses_one_row_and_chunks_many_copies(spark):
+    frame = spark.createDataFrame([(i, float(i), int(i == 0)) for i in range(9)], "id long, x double, y int")
+    with pytest.raises(ValueError):
+        S.oversample(frame, "id", ["x"], "y")
+    many = spark.range(3000).select("id", F.col("id").cast("double").alias("x"), (F.col("id") < 2).cast("int").alias("y"))
+    whole, cut = (S.synthetic_rows(many, "id", ["x"], "y", chunk=c) for c in (10_000, 100))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, cut.collect()))
+    assert whole.count() == 2996 and whole.select("base", "copy").distinct().count() == 2996
+
+
 @pytest.mark.parametrize("accuracy", [50, 400, 50_000])
 @pytest.mark.parametrize("shape", ["uniform", "heavy", "tail"])
 def test_exact_quantiles(spark, accuracy, shape):
@@ -226,5 +267,12 @@ def test_crosstab_forms(spark):
     assert table(normalize="columns") == {"a": (0.5, 1.0), "b": (0.5, 0.0)}
     with pytest.raises(ValueError):
         table(normalize="all")
+    more = frame.union(spark.createDataFrame([("b", 2), ("c", 2), ("c", None)], "k string, y int"))
+    cells = {(r.k, r.value): r.n for r in A.crosstab(more, "k", "y").collect()}
+    assert cells == {("a", 0): 1, ("a", 1): 2, ("b", 0): 1, ("b", 2): 1, ("c", 2): 1}
+    shares = {(r.k, r.value): r.share for r in A.crosstab(more, "k", "y", normalize="columns").collect()}
+    assert shares == {("a", 0): 0.5, ("a", 1): 1.0, ("b", 0): 0.5, ("b", 2): 0.5, ("c", 2): 0.5}
+    listed = {r.k: (r["0"], r["1"]) for r in A.crosstab(more, "k", "y", [0, 1], "index").collect()}
+    assert listed == {"a": (1 / 3, 2 / 3), "b": (0.5, 0.0), "c": (0.0, 0.0)}  # value 2 counts in the rows' totals
     assert [r.value for r in A.value_counts(frame, "k").collect()] == ["a", "b"]
     assert [(r.value, r.share) for r in A.value_shares(frame, "k").collect()] == [("a", 0.75), ("b", 0.25)]

@@ -16,7 +16,6 @@ DELETE = "d"
 
 # Columns of the routing configuration (our own choice of names).
 ROUTE_SCHEMA = "source_table string, sink_table string, sink_columns string, row_key string"
-MAX_TABLES = 10_000
 
 
 def read_changes(lines: DataFrame, strict: bool = True) -> DataFrame:
@@ -58,12 +57,18 @@ def latest_images(changes: DataFrame, key: str, order: Sequence[str], values: Se
     """Last image per key, deleted keys left out. `order` must order a key's changes uniquely.
 
     One mergeable aggregate: each map task sends at most one row per key, whatever a key's share of the log.
+    A change without a key is no row of a dimension; `unkeyed_changes` has those.
     """
-    last = changes.groupBy(key).agg(F.max_by(F.struct("op", *values, *order), F.struct(*order)).alias("last"))
+    last = changes.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct("op", *values, *order), F.struct(*order)).alias("last"))
     last = last.select(key, "last.op", *[F.col("last")[c].alias(c) for c in (*values, *order)])
     return last if keep_deleted else last.where(~F.col("op").eqNullSafe(DELETE)).drop("op")
 
 
+def unkeyed_changes(changes: DataFrame, key: str) -> DataFrame:
+    """Quarantine of `latest_images`: the changes whose key is null."""
+    return changes.where(F.col(key).isNull())
+
+
 def config_images(config_lines: DataFrame) -> DataFrame:
     """Last configuration change per source table, removals included: `op` and the configuration's columns."""
     changes = read_changes(config_lines).withColumn("position", source_position())
@@ -109,21 +114,22 @@ def enrich(facts: DataFrame, dictionary: DataFrame, code: str) -> DataFrame:
     return join_lookup(facts, names, code, "left")
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def apply_table_config(spark: SparkSession, images: DataFrame, namespace: str = "default") -> list[str]:
     """Create the sink table of every configured table and drop that of every removed one; returns the statements.
 
-    `images` is `config_images`: a row per source table, so it is small; more than `MAX_TABLES` rows are refused.
+    `images` is `config_images`, a row per source table, read one partition at a time.
     """
-    rows = images.limit(MAX_TABLES + 1).collect()
-    if len(rows) > MAX_TABLES:
-        raise ValueError(f"more than {MAX_TABLES} configured tables")
     done = []
-    for row in rows:
-        name = f"`{namespace}`.`{row.sink_table}`"
+    for row in images.toLocalIterator():
+        name = f"{_quoted(namespace)}.{_quoted(row.sink_table)}"
         if row.op == DELETE:
             statement = f"DROP TABLE IF EXISTS {name}"
         else:
-            columns = ", ".join(f"`{c.strip()}` STRING" for c in row.sink_columns.split(","))
+            columns = ", ".join(f"{_quoted(c.strip())} STRING" for c in row.sink_columns.split(","))
             statement = f"CREATE TABLE IF NOT EXISTS {name} (`rk` STRING, {columns}) USING parquet"
         spark.sql(statement)
         done.append(statement)

@@ -16,14 +16,19 @@ from tidemill.session import checkpoint_dir
 
 
 def _fit(train: DataFrame, features: Sequence[str], label: str, classifier) -> PipelineModel:
-    """Fit on a frame that is computed once; a lost part of it is computed again from its lineage."""
+    """Fit on a frame that is computed once; a lost part of it is computed again from its lineage.
+
+    A training row with a null or NaN feature fails the fit: fill such features first.
+    """
     checkpoint_dir(train.sparkSession)
-    assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
+    assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="error")
     held = train.select(*features, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return Pipeline(stages=[assembler, classifier]).fit(held)
+        model = Pipeline(stages=[assembler, classifier]).fit(held)
     finally:
         held.unpersist()
+    model.stages[0].setHandleInvalid("keep")  # `predict` keeps every row
+    return model
 
 
 def fit_boosted(train: DataFrame, features: Sequence[str], label: str, rounds: int = 20, depth: int = 5,
@@ -42,6 +47,13 @@ def fit_tree(train: DataFrame, features: Sequence[str], label: str, depth: int =
 
 
 def predict(model: PipelineModel, frame: DataFrame) -> DataFrame:
-    """The frame with a 0/1 `prediction`."""
-    scored = model.transform(frame)
-    return scored.select(*frame.columns, F.col("prediction").cast("int").alias("prediction"))
+    """Every row of the frame with a 0/1 `prediction`, null where a feature is null or NaN."""
+    types = dict(frame.dtypes)
+    features = model.stages[0].getInputCols()
+    known = F.lit(True)
+    for name in features:
+        known = known & F.col(name).isNotNull()
+        if types[name] in ("double", "float"):
+            known = known & ~F.isnan(name)
+    scored = model.transform(frame.withColumn("_known", known))
+    return scored.select(*frame.columns, F.when(F.col("_known"), F.col("prediction").cast("int")).alias("prediction"))

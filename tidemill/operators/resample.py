@@ -17,6 +17,9 @@ SEED = 42
 TEST_PARTS = 5
 NEIGHBOURS = 5
 
+# Copies of one rare row that are numbered in one go.
+CHUNK = 10_000
+
 
 def _hex_number(digest: Column, start: int) -> Column:
     """Eight hex digits of a digest as a number below 2^32."""
@@ -40,7 +43,7 @@ def class_counts(frame: DataFrame, label: str) -> DataFrame:
 
 
 def synthetic_rows(frame: DataFrame, key: str, features: Sequence[str], label: str, k: int = NEIGHBOURS,
-                   seed: int = SEED, box_points: int | None = None) -> DataFrame:
+                   seed: int = SEED, box_points: int | None = None, chunk: int = CHUNK) -> DataFrame:
     """New rows of the rarer of two classes, as many as it lacks: (`base`, `copy`, features..., label).
 
     A new row lies between a rare row and one of its k nearest rare rows. Rare rows take turns in key order; which
@@ -50,7 +53,9 @@ def synthetic_rows(frame: DataFrame, key: str, features: Sequence[str], label: s
     if len(counts) != 2:
         raise ValueError("balancing needs exactly two classes")
     (few, rare), (many, _) = counts
-    if few < 2 or few == many:
+    if few < 2 <= many:
+        raise ValueError("balancing needs at least two rows of the rarer class")
+    if few == many:
         return frame.select(F.col(key).alias("base"), F.lit(1).cast("long").alias("copy"),
                             *[F.col(f).cast("double").alias(f) for f in features], label).limit(0)
     minority = frame.where(F.col(label) == rare).select(key, *features)
@@ -74,10 +79,18 @@ def synthetic_rows(frame: DataFrame, key: str, features: Sequence[str], label: s
     weights = bases.groupBy(*features).agg(F.count("*").alias("rows"))
     matched = join_state(bases, by_place.join(weights, list(features)), list(features), "rows")
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("base").cast("string"), F.col("copy").cast("string")))
-    drawn = matched.select(
-        "base", *features,
+    # Copies are numbered in chunks, so that no array grows with the turns; many chunks of a row go to many tasks.
+    turns = F.col("turns").cast("long")
+    chunked = matched.select(
+        "base", *features, "turns",
         F.slice(F.filter("near", lambda n: n["id"] != F.col("base")), 1, k).alias("near"),
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("turns").cast("long"))).alias("copy"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((turns - 1) / chunk).cast("long"))).alias("chunk"))
+    if missing // few >= chunk:
+        chunked = chunked.repartition("base", "chunk")
+    first = F.col("chunk") * chunk + 1
+    drawn = chunked.select(
+        "base", *features, "near",
+        F.explode(F.sequence(first, F.least(first + (chunk - 1), turns))).alias("copy"),
     ).withColumn("_digest", digest)
     chosen = F.col("near")[F.pmod(_hex_number(F.col("_digest"), 1), F.size("near")).cast("int")]["x"]
     along = _hex_number(F.col("_digest"), 9) / F.lit(4294967296.0)

@@ -7,6 +7,9 @@ hot key never meet in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +40,8 @@ def join_lookup(facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner
     if facts.isStreaming:
         return facts.join(lookup, key, how)
     weights = facts.groupBy(key).agg(F.count("*").alias("_rows"))
-    state = lookup.join(weights, key).withColumn("_found", F.lit(True))
+    # A hot key that the lookup lacks needs a state too, an empty one, or its rows would meet in one task.
+    state = weights.join(lookup.withColumn("_found", F.lit(True)), key, "left").where(F.col("_found") | (F.col("_rows") >= hot_rows))
     joined = join_state(facts, state, key, "_rows", hot_rows)
     return (joined if how == "left" else joined.where("_found")).drop("_found")
 
@@ -59,7 +63,10 @@ def join_state(facts: DataFrame, state: DataFrame, keys: str | list[str], weight
     cold = packed.where(F.col("_weight") < hot_rows).select(
         *keys, zero.alias("_salt"), F.col("_state").alias("_cold"))
     marked = facts.join(F.broadcast(hot), keys, "left")
-    marked = marked.withColumn("_salt", F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(_row_salt(facts)))
+    # A null key matches nothing, whatever its salt.
+    unmatched = reduce(or_, [F.col(k).isNull() for k in keys])
+    apart = F.col("_hot").isNotNull() | unmatched
+    marked = marked.withColumn("_salt", F.when(apart, _row_salt(facts)).otherwise(F.lit(0)))
     joined = marked.join(cold, [*keys, "_salt"], "left")
     best = F.coalesce("_hot", "_cold")
     return joined.select(*facts.columns, *[best[c].alias(c) for c in fields])

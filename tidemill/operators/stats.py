@@ -22,30 +22,45 @@ def value_counts(frame: DataFrame, column: str) -> DataFrame:
 
 def value_shares(frame: DataFrame, column: str) -> DataFrame:
     """(`value`, `share`) of the non-null rows, largest first."""
-    total = frame.agg(F.count(column).alias("n"))
     counts = frame.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("n"))
     return counts.select("value", (F.col("n") / total.scalar()).alias("share")).orderBy(F.desc("share"), "value")
 
 
-def crosstab(frame: DataFrame, index: str, column: str, values: Sequence, normalize: str | None = None) -> DataFrame:
-    """Two-way table with one column per entry of `values`, named after it.
+def crosstab(frame: DataFrame, index: str, column: str, values: Sequence | None = None,
+             normalize: str | None = None) -> DataFrame:
+    """Two-way table of the rows where neither column is null.
 
-    `normalize='index'` gives shares of each row, `'columns'` of each column, None plain counts. The whole table is
-    one conditional aggregate per index value.
+    Without `values` it covers every value, in the long form (index, `value`, `n` or `share`). With them it has one
+    column per entry, named after it; rows with other values still count in the shares of their index.
+
+    `normalize='index'` gives shares of each row, `'columns'` of each column, None plain counts. Totals are sums of the
+    grouped counts, so the frame is evaluated once.
     """
-    cells = {str(v): F.count_if(F.col(column) == v) for v in values}
-    known = frame.where(F.col(index).isNotNull() & F.col(column).isin(list(values)))
-    counts = known.groupBy(index).agg(*[c.alias(name) for name, c in cells.items()])
+    if normalize not in (None, "index", "columns"):
+        raise ValueError("normalize is 'index', 'columns' or None")
+    known = frame.where(F.col(index).isNotNull() & F.col(column).isNotNull())
+    if values is None:
+        return _crosstab_long(known, index, column, normalize)
+    names = [str(v) for v in values]
+    counts = known.groupBy(index).agg(
+        F.count("*").alias("_row"), *[F.count_if(F.col(column) == v).alias(n) for v, n in zip(values, names, strict=True)])
     if normalize is None:
-        return counts
+        return counts.drop("_row")
     if normalize == "index":
-        row = sum((F.col(n) for n in cells), F.lit(0))
-        return counts.select(index, *[(F.col(n) / row).alias(n) for n in cells])
-    if normalize == "columns":
-        totals = known.agg(F.struct(*[c.alias(name) for name, c in cells.items()]).alias("totals")).scalar()
-        counts = counts.withColumn("_totals", totals)
-        return counts.select(index, *[F.try_divide(F.col(n), F.col("_totals")[n]).alias(n) for n in cells])
-    raise ValueError("normalize is 'index', 'columns' or None")
+        return counts.select(index, *[(F.col(n) / F.col("_row")).alias(n) for n in names])
+    totals = counts.agg(F.struct(*[F.sum(n).alias(n) for n in names]).alias("totals")).scalar()
+    counts = counts.withColumn("_totals", totals)
+    return counts.select(index, *[F.try_divide(F.col(n), F.col("_totals")[n]).alias(n) for n in names])
+
+
+def _crosstab_long(known: DataFrame, index: str, column: str, normalize: str | None) -> DataFrame:
+    counts = known.groupBy(index, F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    if normalize is None:
+        return counts
+    by = index if normalize == "index" else "value"
+    totals = counts.groupBy(by).agg(F.sum("n").alias("_total"))
+    return counts.join(totals, by).select(index, "value", (F.col("n") / F.col("_total")).alias("share"))
 
 
 def crosstab_sorted(frame: DataFrame, index: str, column: str, values: Sequence, by) -> DataFrame:
