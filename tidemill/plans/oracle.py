@@ -208,9 +208,9 @@ ORACLE_SQL: dict[str, str] = {
                epoch_us(CAST(date_trunc('day', clock) AS TIMESTAMP) - INTERVAL 8 HOURS) // 1000 AS date_ms FROM t""",
     "window_format": """SELECT strftime(o_orderdate, '%Y/%m/%d %H') AS hour_text, '2024-12-11' AS literal_text,
         count(*) AS n FROM orders GROUP BY 1""",
-    "null_counts": "WITH j AS (SELECT d.doc_id, lang, source, n_chars, quality, toxic FROM documents d LEFT JOIN labels USING (doc_id))\n"
+    "null_counts": "WITH j AS (SELECT d.doc_id, text, lang, source, n_chars, quality, toxic FROM documents d LEFT JOIN labels USING (doc_id))\n"
         + _union(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS nulls FROM j"
-                 for c in ("doc_id", "lang", "source", "n_chars", "quality", "toxic")),
+                 for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")),
     "frame_info": _union(
         f"SELECT '{c}' AS \"column\", count({c}) AS non_null FROM orders"
         for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")),

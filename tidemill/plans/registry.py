@@ -385,7 +385,9 @@ def window_format(spark, sf_dir):
 @query
 def null_counts(spark, sf_dir):
     documents, labels = I.table(spark, sf_dir, "documents"), I.table(spark, sf_dir, "labels")
-    return P.null_counts(documents.drop("text").join(labels, "doc_id", "left"))
+    # Only whether there is a text goes through the join.
+    documents = documents.withColumn("text", F.when(F.col("text").isNotNull(), True))
+    return P.null_counts(documents.join(labels, "doc_id", "left"))
 
 
 @query

@@ -42,15 +42,19 @@ def kafka_sink(records: DataFrame, servers: str, topic: str | None = None,
     return None
 
 
-def routed_files(frame: DataFrame, path: str, route: str) -> None:
-    """One folder per value of `route`, all written in one pass."""
-    frame.write.mode("append").partitionBy(route).parquet(path)
-
-
 def batch_folder(path: str, batch: int) -> str:
     return f"{path}/batch={batch}"
 
 
+def routed_files(frame: DataFrame, path: str, route: str, batch: int | None = None) -> None:
+    """One folder per value of `route`, all written in one pass: appended, or with a `batch` in a folder of the batch's
+    own, which a repeated batch replaces."""
+    if batch is None:
+        frame.write.mode("append").partitionBy(route).parquet(path)
+    else:
+        frame.write.mode("overwrite").partitionBy(route).parquet(batch_folder(path, batch))
+
+
 def json_batches(path: str, retries: int = 3) -> BatchWriter:
     """Batch writer of JSON lines for a reporting store; append only, a failed write is tried again."""
     def write(frame: DataFrame, batch: int) -> None:
