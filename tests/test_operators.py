@@ -16,6 +16,7 @@ from tidemill.operators import stats as A
 from tidemill.operators.neighbors import nearest_positions, positions
 from tidemill.operators.quantiles import exact_quantiles
 from tidemill.operators.skew import fits_broadcast, join_lookup, join_state
+from tidemill.sinks.writers import routed_files
 
 
 def _plan(frame):
@@ -258,6 +259,14 @@ def test_outliers(spark):
     assert (box.q1, box.median, box.q3, box.whisker_low, box.whisker_high, box.fliers) == (2.0, 3.0, 3.5, 1.0, 4.0, 1)
 
 
+def test_routed_files_replace_a_repeated_batch(spark, tmp_path):
+    frame = spark.createDataFrame([("a", 1), ("b", 2)], "tag string, v int")
+    for batch in (0, 1, 1):
+        routed_files(frame, str(tmp_path / "out"), "tag", batch)
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted((r.tag, r.v, r.batch) for r in rows.collect()) == [("a", 1, 0), ("a", 1, 1), ("b", 2, 0), ("b", 2, 1)]
+
+
 def test_crosstab_forms(spark):
     frame = spark.createDataFrame([("a", 0), ("a", 1), ("a", 1), ("b", 0), (None, 1)], "k string, y int")
     def table(**how):
