@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe_ranks, host_reputation, imatch, minhash, packing, recurrent_lm, secret_scan, stable_ann, token_files, toxicity
+from tidemill.llm import (
+    bpe_ranks, host_reputation, imatch, merkle_log, minhash, packing, recurrent_lm, secret_scan, stable_ann, token_alignment,
+    token_files, toxicity, winnowing)
 from tidemill.plans.inputs import table
 
 import corpus_pipeline
@@ -19,6 +21,7 @@ ORACLE_SQL: dict[str, str] = {}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 #: The rules of the page query.
@@ -105,6 +108,26 @@ def op10_host_reputation(spark, sf_dir):
                          F.col("k").alias("host_bad"))
 
 
+@query
+def op11_winnowing(spark, sf_dir):
+    """Benchmark windows in all documents."""
+    found = winnowing.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op12_merkle_log(spark, sf_dir):
+    """Proofs of all documents, and the roots that tampered ones fold to."""
+    return merkle_log.prove(merkle_log.manifest(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_token_alignment(spark, sf_dir):
+    """Links between the ids of two vocabularies in all documents, with the counts of the whole corpus."""
+    aligned = token_alignment.align_documents(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
 ORACLE_SQL["op10_host_reputation"] = r"""
 WITH cut AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substring(url, strpos(url, '://') + 3) END AS rest FROM pages),
@@ -160,3 +183,76 @@ FROM named JOIN bounds USING (host) LEFT JOIN fitting USING (page_id, host, path
 """.format(double=", ".join(f"'{s}'" for s in host_reputation.DOUBLE_SUFFIXES), low=1 / (host_reputation.MOST_WEIGHT + 1),
            high=1 / (host_reputation.LEAST_WEIGHT + 1), spread=host_reputation.SPREAD, limit=host_reputation.LIMIT,
            rules=", ".join(str(r) for r in PAGE_RULES))
+
+ORACLE_SQL["op11_winnowing"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+opened AS (SELECT item_id, w, least(10, len(w)) AS n, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS s FROM i WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS t FROM opened),
+lengths AS (SELECT DISTINCT n FROM windows),
+stretches AS (SELECT r, n, w, unnest(generate_series(1, len(w) - n + 1)) AS s FROM d JOIN lengths ON len(w) >= n),
+hits AS (
+  SELECT r, n, s, t FROM (SELECT r, n, s, array_to_string(w[s:s + n - 1], ' ') AS t FROM stretches)
+  SEMI JOIN windows USING (n, t)),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(s, s + n - 1)) AS p FROM hits) GROUP BY r),
+held AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits JOIN windows USING (n, t) WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN held USING (r)
+"""
+
+_FIELDS = " || ".join(f"coalesce(strlen(CAST({{{c}}} AS VARCHAR)) || ':' || CAST({{{c}}} AS VARCHAR), '-')"
+                      for c in merkle_log.FIELDS)
+ORACLE_SQL["op12_merkle_log"] = """
+WITH RECURSIVE summed AS (
+  SELECT *, xor(4294967295, list_reduce(flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda ch: [CAST(ord(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, 4294967295)) AS crc
+  FROM documents),
+hashed AS (
+  SELECT doc_id, coalesce('=' || source, '') AS name, sha256({leaf}) AS leaf,
+    CASE WHEN crc % 2 = 0 THEN sha256({altered}) ELSE sha256({leaf}) END AS given FROM summed),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY name) AS n FROM hashed),
+tree AS (
+  SELECT name, 0 AS level, i, leaf AS h, n FROM leaves
+  UNION ALL
+  SELECT name, level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM tree WHERE n > 1
+  GROUP BY name, level, i // 3, n),
+subroots AS (SELECT name, h AS subroot, row_number() OVER (ORDER BY name) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1),
+above AS (
+  SELECT 0 AS level, i, subroot AS h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM above WHERE n > 1 GROUP BY level, i // 3, n),
+nodes AS (SELECT name, level, i, h, n FROM tree UNION ALL SELECT NULL, level, i, h, n FROM above),
+sides AS (
+  SELECT name, level, i, n, coalesce(string_agg(h, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM nodes WINDOW run AS (PARTITION BY name, level, i // 3 ORDER BY i)),
+lower_way AS (
+  SELECT doc_id, name, leaf, i AS place, 0 AS level, i, given AS h, '' AS proof FROM leaves
+  UNION ALL
+  SELECT doc_id, name, leaf, place, level + 1, i // 3, sha256(l || h || r), proof || l || r
+  FROM lower_way JOIN sides USING (name, level, i) WHERE n > 1),
+reached AS (
+  SELECT doc_id, name, leaf, place, h, proof, subroots.i, subroot
+  FROM (SELECT *, row_number() OVER (PARTITION BY name, place ORDER BY level DESC) AS k FROM lower_way) JOIN subroots USING (name)
+  WHERE k = 1),
+upper_way AS (
+  SELECT doc_id, name, leaf, place, subroot, 0 AS level, i, h, proof FROM reached
+  UNION ALL
+  SELECT doc_id, upper_way.name, leaf, place, subroot, level + 1, i // 3, sha256(l || h || r), proof || l || r
+  FROM upper_way JOIN (SELECT * EXCLUDE (name) FROM sides WHERE name IS NULL) USING (level, i) WHERE n > 1),
+ended AS (SELECT *, row_number() OVER (PARTITION BY name, place ORDER BY level DESC) AS k FROM upper_way)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, ended.h AS folded_root, ended.h = root AS verified
+FROM ended, (SELECT h AS root FROM above WHERE n = 1) WHERE k = 1
+""".format(leaf=_FIELDS.format(**{c: c for c in merkle_log.FIELDS}),
+           altered=_FIELDS.format(**{c: c if c != "text" else "replace(text, chr(10), '')" for c in merkle_log.FIELDS}))
