@@ -298,7 +298,7 @@ def count_pairs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         bucket = bucket_of(pairs)
         order = np.argsort(bucket, kind="stable")
         held, begins = np.unique(bucket[order], return_index=True)
-        ends = np.append(begins[1:], len(order))
+        ends = np.append(begins[1:], len(order))[:len(begins)]
         task = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays([
             pa.array(held, pa.int32()), pa.array([task] * len(held), pa.int32()),
