@@ -70,10 +70,16 @@ def unkeyed_changes(changes: DataFrame, key: str) -> DataFrame:
 
 
 def config_images(config_lines: DataFrame) -> DataFrame:
-    """Last configuration change per source table, removals included: `op` and the configuration's columns."""
+    """Last configuration change per source table, removals included: `op` and the configuration's columns.
+
+    An update that gives a row another source table removes the one it had.
+    """
     changes = read_changes(config_lines).withColumn("position", source_position())
-    rows = clean_changes(changes, keep=("ts_ms", "position")).withColumn("config", image())
-    rows = rows.withColumn("source_table", F.get_json_object("config", "$.source_table"))
+    table = lambda text: F.get_json_object(text, "$.source_table")
+    moved = ~F.col("op").eqNullSafe(DELETE) & table("before").isNotNull() & ~table("before").eqNullSafe(table("after"))
+    own = F.struct(F.col("op").alias("op"), image().alias("config"))
+    entries = F.when(moved, F.array(own, F.struct(F.lit(DELETE).alias("op"), F.col("before").alias("config")))).otherwise(F.array(own))
+    rows = changes.select("ts_ms", "position", F.inline(entries)).withColumn("source_table", table("config"))
     last = latest_images(rows, "source_table", ("ts_ms", "position"), ("config",), keep_deleted=True)
     return last.select("op", F.from_json("config", ROUTE_SCHEMA).alias("config")).select("op", "config.*")
 

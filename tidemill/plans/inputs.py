@@ -120,6 +120,41 @@ def config_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )).alias("value"))
 
 
+ROUTE_BATCHES = 6
+ROUTED_KINDS = ["click", "error", "purchase", "signup", "view"]
+
+
+def route_changes_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change envelopes `value` of one source table for each kind of event, cut by event into `ROUTE_BATCHES` equal
+    `part`s; every 101st names no table."""
+    kind, events = F.col("event_type"), _events(spark, sf_dir)
+    total = table(spark, sf_dir, "events").agg(F.max("event_id") + 1)
+    image = F.struct("user_id", "event_type", "value")
+    named = F.when(F.pmod("event_id", F.lit(101)) != 0, kind)
+    return events.select(F.floor(F.col("event_id") * ROUTE_BATCHES / total.scalar()).cast("int").alias("part"), F.to_json(F.struct(
+        F.when(kind == "error", image).alias("before"), F.when(kind != "error", image).alias("after"),
+        F.struct(F.lit("shop").alias("db"), named.alias("table"), F.col("event_id").alias("pos")).alias("source"),
+        F.when(kind == "error", "d").otherwise("u").alias("op"), millis_of_utc("ts").alias("ts_ms"))).alias("value"))
+
+
+def route_config_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configuration envelopes `value` by `part`. The k-th kind of event (one for each region) is configured in part k;
+    an even one is removed in part k + 2 and comes back in part k + 3, an odd one gets other columns in part k + 4."""
+    regions = table(spark, sf_dir, "region").where(F.col("r_regionkey").between(0, len(ROUTED_KINDS) - 1))
+    k, even = F.col("r_regionkey"), F.pmod("r_regionkey", F.lit(2)) == 0
+    kind = F.element_at(F.array(*[F.lit(x) for x in ROUTED_KINDS]), k + 1)
+    entry = lambda part, op, columns: F.struct(part.alias("part"), F.lit(op).alias("op"), F.lit(columns).alias("columns"))
+    plan = F.when(even, F.array(entry(k, "c", "user_id,value"), entry(k + 2, "d", "user_id,value"), entry(k + 3, "c", "user_id,event_type,value"))).otherwise(
+        F.array(entry(k, "c", "user_id,event_type"), entry(k + 4, "u", "value")))
+    rows = regions.select(kind.alias("kind"), F.inline(plan)).where(F.col("part") < ROUTE_BATCHES)
+    row = F.struct(F.col("kind").alias("source_table"), F.concat(F.lit("dwd_"), "kind").alias("sink_table"),
+                   F.col("columns").alias("sink_columns"), F.lit("user_id").alias("row_key"))
+    return rows.select("part", F.to_json(F.struct(
+        F.when(F.col("op") == "d", row).alias("before"), F.when(F.col("op") != "d", row).alias("after"),
+        F.struct(F.lit("shop_config").alias("db"), F.lit("table_process").alias("table"), F.col("part").alias("pos")).alias("source"),
+        "op", F.col("part").cast("bigint").alias("ts_ms"))).alias("value"))
+
+
 def routes(spark: SparkSession) -> DataFrame:
     """Routing of the two configured source tables; records of any other table are dropped."""
     return spark.createDataFrame(

@@ -324,4 +324,26 @@ ORACLE_SQL: dict[str, str] = {
         {_WINDOW_COLUMNS} WHERE w + INTERVAL 10 MINUTES <= (SELECT make_timestamp(max(ms) * 1000) FROM page)""",
     "stream_log_split": _SPLIT_COUNTS,
     "stream_dimension": _LATEST,
+    "stream_route": """WITH kinds AS (
+            SELECT r_regionkey AS k, (['click', 'error', 'purchase', 'signup', 'view'])[r_regionkey + 1] AS kind FROM region
+            WHERE r_regionkey BETWEEN 0 AND 4),
+        versions AS (
+            SELECT kind, part, part >= k AND (k % 2 = 1 OR part <> k + 2) AS live,
+                CASE WHEN k % 2 = 0 AND part >= k + 3 THEN 'user_id,event_type,value' WHEN k % 2 = 0 THEN 'user_id,value'
+                     WHEN part >= k + 4 THEN 'value' ELSE 'user_id,event_type' END AS columns FROM kinds, range(6) r(part)),
+        changes AS (
+            SELECT event_id, user_id, event_type, value, epoch_us(ts) // 1000 AS ts_ms, CASE WHEN event_type = 'error' THEN 'd' ELSE 'u' END AS op,
+                CASE WHEN event_id % 101 <> 0 THEN event_type END AS source_table,
+                event_id * 6 // (SELECT max(event_id) + 1 FROM events) AS part FROM events),
+        arrived AS (
+            SELECT event_id, min(v.part) AS batch FROM changes c JOIN versions v ON v.kind = c.source_table AND v.live AND v.part >= c.part
+            GROUP BY 1)
+        SELECT source_table, CASE WHEN batch IS NOT NULL THEN (SELECT live FROM versions e WHERE e.kind = source_table AND e.part = 5)
+                END AS has_table, CAST(batch AS INT) AS batch,
+            CASE WHEN batch IS NOT NULL THEN 'dwd_' || source_table END AS sink_table, op, ts_ms,
+            CASE WHEN batch IS NOT NULL THEN CAST(user_id AS VARCHAR) END AS row_key,
+            CASE WHEN contains(columns, 'user_id') THEN user_id END AS user_id,
+            CASE WHEN contains(columns, 'event_type') THEN event_type END AS event_type,
+            CASE WHEN contains(columns, 'value') THEN value END AS value
+        FROM changes LEFT JOIN arrived USING (event_id) LEFT JOIN versions v ON v.kind = source_table AND v.part = batch""",
 }

@@ -25,6 +25,7 @@ from tidemill.sinks import writers as W
 from tidemill.sinks.dimensions import DimensionFiles
 from tidemill.sources import catalog, readers
 from tidemill.streaming import jobs
+from tidemill.streaming.routing import RouteStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -642,3 +643,30 @@ def stream_dimension(spark, sf_dir):
     jobs.dimension_job(lines, files, scratch_folder(spark, "state"), until_done=True).start().awaitTermination()
     return files.current().select(F.col("user_id").cast("bigint").alias("user_id"), "event_type",
                                   F.col("value").cast("double").alias("value"), "ts_ms")
+
+
+@query
+def stream_route(spark, sf_dir):
+    """Changes routed by a streamed configuration over several micro-batches: each in the batch and with the columns it
+    arrived with, or still waiting, or without a table."""
+    out, space = scratch_folder(spark, "stream-routed"), scratch_folder(spark, "stream-tables")
+    name = "tide_" + space.rsplit("-", 1)[1]
+    here = spark.catalog.currentDatabase()
+    catalog.use_namespace(spark, name, space)
+    spark.catalog.setCurrentDatabase(here)
+    store = RouteStore(spark, scratch_folder(spark, "stream-route"), W.tagged_batches(out, "sink_table"), name)
+    feeds = [(scratch_folder(spark, "route-feed"), f(spark, sf_dir)) for f in (I.route_config_feed, I.route_changes_feed)]
+    state = scratch_folder(spark, "state")
+    for part in range(I.ROUTE_BATCHES):
+        for path, feed in feeds:
+            feed.where(F.col("part") == part).select("value").write.mode("append").text(path)
+        lines = [readers.file_lines(spark, path, streaming=True) for path, _ in feeds]
+        jobs.stream_route_job(*lines, store, state, until_done=True).start().awaitTermination()
+    tables = [r.tableName for r in catalog.show_tables(spark, name).collect()]
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+    routed = spark.read.parquet(out).select(
+        "source_table", F.col("sink_table").isin(tables).alias("has_table"), "batch", "sink_table", "op", "ts_ms", "row_key",
+        *[_json(f"$.{c}", t, "payload").alias(c) for c, t in (("user_id", "bigint"), ("event_type", "string"), ("value", "double"))])
+    left = store.waiting().select("source_table", "op", "ts_ms").unionByName(
+        store.nameless().select("op", "ts_ms"), allowMissingColumns=True)
+    return routed.unionByName(left, allowMissingColumns=True)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.operators.changes import latest_images
+from tidemill.sinks.writers import complete_batches
 
 
 class DimensionFiles:
@@ -54,9 +55,4 @@ class DimensionFiles:
         return self.spark.read.parquet(*folders).select(self.key, "op", *self.values, *self.order)
 
     def _numbers(self, kind: str) -> list[int]:
-        """Numbers of the completely written folders."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        root = hadoop.Path(f"{self.path}/{kind}")
-        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        done = files.globStatus(hadoop.Path(f"{self.path}/{kind}/batch=*/_SUCCESS")) or []
-        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
+        return complete_batches(self.spark, f"{self.path}/{kind}")

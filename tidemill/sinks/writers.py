@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -46,6 +46,23 @@ def batch_folder(path: str, batch: int) -> str:
     return f"{path}/batch={batch}"
 
 
+def complete_batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the completely written batch folders below `path`."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    done = files.globStatus(hadoop.Path(f"{path}/batch=*/_SUCCESS")) or []
+    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
+
+
+def remove_batches(spark: SparkSession, path: str, upto: int) -> None:
+    """Remove the complete batch folders below `path` up to number `upto`."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for number in complete_batches(spark, path):
+        if number <= upto:
+            folder = hadoop.Path(batch_folder(path, number))
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def routed_files(frame: DataFrame, path: str, route: str, batch: int | None = None) -> None:
     """One folder per value of `route`, all written in one pass: appended, or with a `batch` in a folder of the batch's
     own, which a repeated batch replaces."""

@@ -16,6 +16,7 @@ from tidemill.operators import logs as L
 from tidemill.sinks.dimensions import DimensionFiles
 from tidemill.sinks.writers import BatchWriter, tagged_batches
 from tidemill.sources.readers import page_log_table
+from tidemill.streaming.routing import RouteStore, routed_feed
 from tidemill.streaming.visitors import repair_visitor_stream
 
 # Fixed value: time between two checkpoints of a live job.
@@ -83,3 +84,9 @@ def route_job(lines: DataFrame, config_lines, checkpoint: str, sink: BatchWriter
         sink(C.route_changes(batch, C.config_state(config_lines())), number)
 
     return _writer(C.read_changes(lines), checkpoint, until_done).foreachBatch(write)
+
+
+def stream_route_job(config_lines: DataFrame, change_lines: DataFrame, store: RouteStore, checkpoint: str,
+                     until_done: bool = False) -> DataStreamWriter:
+    """Route a change stream by a configuration stream; changes that come before their configuration wait for it."""
+    return _writer(routed_feed(config_lines, change_lines), checkpoint, until_done).foreachBatch(store)
