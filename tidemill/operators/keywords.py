@@ -12,6 +12,7 @@ from tidemill.functions.text import tokens
 SEARCH_PAGE = "search"
 KEYWORD_ITEM = "keyword"
 WINDOW_LENGTH = "10 minutes"
+WINDOW_MILLIS = 600_000
 
 
 def with_event_time(logs: DataFrame, millis: str = "ts", name: str = "et") -> DataFrame:

@@ -346,4 +346,19 @@ ORACLE_SQL: dict[str, str] = {
             CASE WHEN contains(columns, 'event_type') THEN event_type END AS event_type,
             CASE WHEN contains(columns, 'value') THEN value END AS value
         FROM changes LEFT JOIN arrived USING (event_id) LEFT JOIN versions v ON v.kind = source_table AND v.part = batch""",
+    "snapshot_handover": f"""WITH {_CHANGES},
+        placed AS (SELECT *, CAST(user_id % 8 AS INT) AS chunk FROM changes),
+        handed AS (SELECT *, (chunk + 2) * (SELECT max(position) FROM changes) // 12 AS upto FROM placed),
+        last AS (SELECT user_id, chunk, upto, arg_max(op, position) AS op, arg_max(event_type, position) AS event_type,
+            arg_max(value, position) AS value FROM handed WHERE position <= upto GROUP BY ALL)
+        SELECT 'r' AS op, upto AS position, chunk, user_id, event_type, value FROM last WHERE op <> 'd'
+        UNION ALL SELECT op, position, chunk, user_id, event_type, value FROM handed WHERE position > upto""",
+    "stream_visitor_days": f"WITH {_WRITTEN} SELECT seq, mid, ts, is_new FROM fixed",
+    "late_records": f"""WITH {_EVENTS},
+        arrived AS (SELECT event_id, ms, 2 * event_id + CASE WHEN event_id % 13 = 0 THEN 81 ELSE 0 END AS place FROM ev),
+        seen AS (SELECT event_id, ms, max(ms) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM arrived)
+        SELECT event_id, ms AS ts, coalesce(newest >= (ms // 600000 + 1) * 600000, false) AS late FROM seen""",
+    "open_windows": f"""WITH {_WINDOWS}, shown AS (
+        SELECT *, w + INTERVAL 10 MINUTES > (SELECT make_timestamp(max(ms) * 1000) FROM page) AS open FROM windows)
+        {_WINDOW_COLUMNS.replace('FROM windows', ', open FROM shown')}""",
 }

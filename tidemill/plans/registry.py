@@ -24,8 +24,11 @@ from tidemill.plans.scratch import scratch_folder
 from tidemill.sinks import writers as W
 from tidemill.sinks.dimensions import DimensionFiles
 from tidemill.sources import catalog, readers
+from tidemill.sources.handover import SnapshotFiles
 from tidemill.streaming import jobs
+from tidemill.streaming.lateness import LateStore
 from tidemill.streaming.routing import RouteStore
+from tidemill.streaming.visitor_days import VisitorDays
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -670,3 +673,89 @@ def stream_route(spark, sf_dir):
     left = store.waiting().select("source_table", "op", "ts_ms").unionByName(
         store.nameless().select("op", "ts_ms"), allowMissingColumns=True)
     return routed.unionByName(left, allowMissingColumns=True)
+
+
+SNAPSHOT_CHUNKS = 8
+
+
+@query
+def snapshot_handover(spark, sf_dir):
+    """A snapshot of the users, each chunk read at its own log position, followed on a stream by a log that starts before
+    all of them."""
+    lines = I.change_log(spark, sf_dir)
+    changes = C.read_changes(lines).withColumn("position", C.source_position())
+    changes = changes.withColumn("user_id", F.get_json_object(C.image(), "$.user_id").cast("bigint"))
+    chunk = lambda key: F.pmod(key, F.lit(SNAPSHOT_CHUNKS)).cast("int")
+    end = changes.agg(F.max("position"))
+    handed = F.floor((F.col("chunk") + 2) * end.scalar() / 12)
+    fields = changes.select("op", "ts_ms", "position", "user_id", F.get_json_object(C.image(), "$.event_type").alias("event_type"),
+                            F.get_json_object(C.image(), "$.value").cast("double").alias("value"), chunk(F.col("user_id")).alias("chunk"))
+    seen = fields.where(F.col("position") <= handed)
+    users = C.latest_images(seen, "user_id", ["ts_ms", "position"], ["event_type", "value", "chunk"])
+    files = SnapshotFiles(spark, scratch_folder(spark, "snapshot"), SNAPSHOT_CHUNKS)
+    positions = spark.range(SNAPSHOT_CHUNKS).select(F.col("id").cast("int").alias("chunk")).select("chunk", handed.alias("position"))
+    files.store(users.select("user_id", "event_type", "value", "chunk"), positions, "shop", "users")
+    feed, out = scratch_folder(spark, "handover-feed"), scratch_folder(spark, "handover")
+    late = C.source_position() >= F.floor(end.scalar() / 12)
+    C.read_changes(lines).where(late).select(F.to_json(F.struct(
+        "before", "after", "source", "op", "ts_ms")).alias("value")).write.text(feed)
+    key = F.get_json_object(C.image(), "$.user_id").cast("bigint")
+    write = lambda frame, number: frame.write.mode("overwrite").parquet(W.batch_folder(out, number))
+    jobs.snapshot_job(readers.file_lines(spark, feed, streaming=True, files_per_trigger=4), files, chunk(key), scratch_folder(spark, "state"),
+                      write, until_done=True).start().awaitTermination()
+    return spark.read.parquet(out).select("op", "position", "chunk", *[
+        F.get_json_object(C.image(), f"$.{c}").cast(t).alias(c) for c, t in (("user_id", "bigint"), ("event_type", "string"), ("value", "double"))])
+
+
+VISITOR_PARTS = 10
+
+
+@query
+def stream_visitor_days(spark, sf_dir):
+    """Streamed repair of the visitor flag, the log in ten batches with a restart after each."""
+    feed, out, state = (scratch_folder(spark, n) for n in ("visitor-feed", "visitor-days", "state"))
+    lines = I.app_log(spark, sf_dir)
+    number = F.regexp_extract("value", r'"seq":(\d+)', 1).cast("bigint")
+    total = I.table(spark, sf_dir, "events").agg(F.max("event_id") + 1)
+    parted = lines.withColumn("part", F.floor(number * VISITOR_PARTS / total.scalar()))
+    held = scratch_folder(spark, "visitor-lines")
+    parted.write.partitionBy("part").parquet(held)
+    days = VisitorDays(spark, scratch_folder(spark, "visitor-state"), lambda frame, n: frame.write.mode("overwrite").parquet(W.batch_folder(out, n)),
+                       ("ts", "seq"), compact_every=4)
+    for part in range(VISITOR_PARTS):
+        spark.read.schema("value string, part bigint").parquet(held).where(F.col("part") == part).select("value").write.mode("append").text(feed)
+        numbered = readers.file_lines(spark, feed, streaming=True).withColumn("seq", number)
+        jobs.visitor_days_job(numbered, days, state, until_done=True).start().awaitTermination()
+    return spark.read.parquet(out).select("seq", "mid", "ts", "is_new")
+
+
+@query
+def late_records(spark, sf_dir):
+    """Searches that reach the stream out of order, split record by record into those in time and those whose ten-minute
+    window had ended."""
+    events = I.shop_events(spark, sf_dir)
+    arrival = F.col("event_id") * 2 + F.when(F.pmod("event_id", F.lit(13)) == 0, 81).otherwise(0)
+    total = I.table(spark, sf_dir, "events").agg(F.max("event_id") + 1)
+    rows = events.select("event_id", F.col("ts_ms").alias("ts"), arrival.alias("offset"),
+                         F.floor(arrival / (2 * total.scalar()) * 4).cast("int").alias("part"))
+    feed, out, late, state = (scratch_folder(spark, n) for n in ("late-feed", "late-kept", "late-rows", "state"))
+    held = scratch_folder(spark, "late-lines")
+    rows.write.partitionBy("part").parquet(held)
+    write = lambda path: lambda frame, n: frame.write.mode("overwrite").parquet(W.batch_folder(path, n))
+    store = LateStore(spark, scratch_folder(spark, "late-state"), write(out), write(late))
+    schema = "event_id bigint, ts bigint, offset bigint"
+    for part in sorted(r["part"] for r in spark.read.parquet(held).select("part").distinct().collect()):
+        spark.read.parquet(held).where(F.col("part") == part).select("event_id", "ts", "offset").write.mode("append").parquet(feed)
+        jobs.late_records_job(spark.readStream.schema(schema).parquet(feed), store, state, until_done=True).start().awaitTermination()
+    return spark.read.parquet(out).select("event_id", "ts", F.lit(False).alias("late")).union(
+        spark.read.parquet(late).select("event_id", "ts", F.lit(True)))
+
+
+@query
+def open_windows(spark, sf_dir):
+    """Streamed keyword windows, and those still open at the end of the run with their counts so far."""
+    lines = _feed(spark, W.as_lines(I.search_log(spark, sf_dir)), "search-feed")
+    out, state = scratch_folder(spark, "keyword-windows"), scratch_folder(spark, "state")
+    jobs.keyword_job(lines, out, state, until_done=True).start().awaitTermination()
+    closed = spark.read.parquet(out).withColumn("open", F.lit(False))
+    return closed.unionByName(jobs.open_windows(spark, state).withColumn("open", F.lit(True)))

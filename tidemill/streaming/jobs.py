@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -15,9 +15,12 @@ from tidemill.operators import keywords as K
 from tidemill.operators import logs as L
 from tidemill.sinks.dimensions import DimensionFiles
 from tidemill.sinks.writers import BatchWriter, tagged_batches
+from tidemill.sources.handover import SnapshotFiles, changes_after
 from tidemill.sources.readers import page_log_table
+from tidemill.streaming.lateness import LateStore
 from tidemill.streaming.routing import RouteStore, routed_feed
 from tidemill.streaming.visitors import repair_visitor_stream
+from tidemill.streaming.visitor_days import VisitorDays
 
 # Fixed value: time between two checkpoints of a live job.
 CHECKPOINT_INTERVAL = "3 seconds"
@@ -62,6 +65,35 @@ def log_split_job(lines: DataFrame, checkpoint: str, sink: BatchWriter | str, or
     return _writer(split, checkpoint, until_done).foreachBatch(writer)
 
 
+def visitor_days_job(lines: DataFrame, days: VisitorDays, checkpoint: str, until_done: bool = False) -> DataStreamWriter:
+    """Repair the flags of a log stream with one remembered day a device between the batches."""
+    logs = L.valid_logs(L.read_logs(lines)).drop("record")
+    return _writer(logs, checkpoint, until_done).foreachBatch(days)
+
+
+def late_records_job(rows: DataFrame, store: LateStore, checkpoint: str, until_done: bool = False) -> DataStreamWriter:
+    """Split a stream of timed rows into those in time and the late ones."""
+    return _writer(rows, checkpoint, until_done).foreachBatch(store)
+
+
+def open_windows(spark: SparkSession, checkpoint: str, zone: str = SHOP_ZONE) -> DataFrame:
+    """Windows that a stopped keyword job still holds, with their counts so far, read from its state."""
+    state = spark.read.format("statestore").load(checkpoint)
+    counts = state.select("key.window", "key.keyword", F.col("value.count").alias("keyword_count"))
+    return K.format_windows(counts, zone)
+
+
+def snapshot_job(lines: DataFrame, snapshot: SnapshotFiles, chunk: Column, checkpoint: str, sink: BatchWriter,
+                 until_done: bool = False) -> DataStreamWriter:
+    """A snapshot and then the changes it does not have; the snapshot comes with the first batch. `chunk` is the chunk of
+    a parsed change's key."""
+    def write(batch: DataFrame, number: int) -> None:
+        later = changes_after(snapshot, batch, chunk)
+        sink(snapshot.rows().unionByName(later) if number == 0 else later, number)
+
+    return _writer(C.read_changes(lines), checkpoint, until_done).foreachBatch(write)
+
+
 def dirty_log_job(lines: DataFrame, path: str, checkpoint: str, until_done: bool = False) -> DataStreamWriter:
     """The quarantine of a log stream as parquet files."""
     return _writer(L.dirty_logs(L.read_logs(lines)), checkpoint, until_done).format("parquet").option("path", path)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.keywords import WINDOW_LENGTH
+from tidemill.operators.keywords import WINDOW_MILLIS
 from tidemill.sinks.writers import BatchWriter, batch_folder, complete_batches, remove_batches
 
 STRETCH = 100_000
@@ -32,13 +32,13 @@ def earlier_maximum(rows: DataFrame, millis: str, offset: str, since: int | None
     return placed.join(tops, "_stretch").select(*rows.columns, F.greatest(F.max(millis).over(inside), "_before").alias("newest"))
 
 
-def window_end(millis: str, length: str = WINDOW_LENGTH) -> Column:
-    """End of a row's window in milliseconds."""
-    return F.unix_millis(F.window(F.timestamp_millis(millis), length).end)
+def window_end(millis: str, length: int = WINDOW_MILLIS) -> Column:
+    """End of a row's tumbling window of so many milliseconds. (The window function would drop rows without a time.)"""
+    return (F.floor(F.col(millis) / length) + 1) * length
 
 
 def mark_late(rows: DataFrame, millis: str = "ts", offset: str = "offset", since: int | None = None,
-              length: str = WINDOW_LENGTH) -> DataFrame:
+              length: int = WINDOW_MILLIS) -> DataFrame:
     """Add `late`: the window of the row had ended, by the event times that arrived before it. A row without time is
     never late."""
     seen = earlier_maximum(rows, millis, offset, since)
@@ -51,7 +51,7 @@ class LateStore:
     event time is stored for each batch; a repeated batch reads that of the batch before it."""
 
     def __init__(self, spark: SparkSession, path: str, kept: BatchWriter, late: BatchWriter, millis: str = "ts",
-                 offset: str = "offset", length: str = WINDOW_LENGTH):
+                 offset: str = "offset", length: int = WINDOW_MILLIS):
         self.spark, self.path, self.kept, self.late = spark, path, kept, late
         self.millis, self.offset, self.length = millis, offset, length
 

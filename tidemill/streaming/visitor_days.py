@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.dates import SHOP_ZONE, ts_to_day
 from tidemill.operators.skew import HOT_ROWS, join_state
-from tidemill.operators.visitors import MODES, place_number
+from tidemill.operators.visitors import BEFORE_ALL, MODES, place_number
 from tidemill.sinks.writers import BatchWriter, batch_folder, complete_batches, remove_batches
 
 _STATE = "mid string, day int, written bigint, batch int"
@@ -86,7 +86,7 @@ class VisitorDays:
             seen = narrow.groupBy("mid").agg(F.count("*").alias("records"), F.min_by(first, "place").alias("first_day"))
             known = self._with_days(seen, number, now)
             day = F.coalesce("remembered", "first_day")
-            return known.select("mid", "records", F.lit(-1).cast("decimal(38,0)").alias("opened"), day.alias("opened_day"),
+            return known.select("mid", "records", F.lit(BEFORE_ALL).cast("decimal(38,0)").alias("opened"), day.alias("opened_day"),
                                 F.lit(None).cast("decimal(38,0)").alias("closed"), day.alias("day"), F.col("remembered").isNull().alias("moved"))
         own, other = F.when(F.col("claim"), F.col("place")), F.when(~F.col("claim"), F.col("place"))
         seen = narrow.groupBy("mid").agg(
@@ -94,7 +94,7 @@ class VisitorDays:
             F.min(other).alias("first_other"), F.max(other).alias("last_other"),
             F.max_by(F.when(~F.col("claim"), F.col("day")), other).alias("last_day"))
         known = self._with_days(seen, number, now)
-        opened = F.when(F.col("remembered").isNotNull(), F.lit(-1).cast("decimal(38,0)")).otherwise(F.col("claimed"))
+        opened = F.when(F.col("remembered").isNotNull(), F.lit(BEFORE_ALL).cast("decimal(38,0)")).otherwise(F.col("claimed"))
         known = known.withColumn("opened", opened).withColumn("opened_day", F.coalesce("remembered", "claimed_day"))
         # A device without a day that starts with other records needs one more look for the first of them after its claim.
         between = known.where("first_other < opened AND last_other > opened").select("mid", "records", "opened")
