@@ -133,11 +133,42 @@ def test_quantiles_of_tiny_groups(spark):
     assert exact_quantiles(frame.limit(0), ["v"], [0.5]).collect() == []
 
 
-def test_quantile_window_sees_only_the_bracket(spark):
+def test_quantile_window_sees_only_the_bracket(spark, monkeypatch):
+    seen = []
+    ranges = Q._only_ranges
+    monkeypatch.setattr(Q, "RANGE_ROWS", 100)
+    monkeypatch.setattr(Q, "RANGES", 16)
+    monkeypatch.setattr(Q, "_only_ranges", lambda counted, groups: seen.append((counted.count(), (kept := ranges(counted, groups)).count())) or kept)
     frame = spark.range(200_000).select(F.xxhash64("id").cast("double").alias("v"))
-    frame = exact_quantiles(frame, ["v"], [0.5], accuracy=1000)
-    frame.collect()
-    assert "Window" in _plan(frame)
+    got = exact_quantiles(frame, ["v"], [0.5], accuracy=1000).first()
+    assert got.value == pytest.approx(float(np.median([r.v for r in frame.collect()])), rel=1e-12)
+    (bracket, left), = seen
+    assert bracket < 0.01 * 200_000 and left < 0.2 * bracket
+
+
+@pytest.mark.parametrize("shape", ["uniform", "heavy", "tail"])
+def test_ranges_of_brackets(spark, monkeypatch, shape):
+    monkeypatch.setattr(Q, "RANGE_ROWS", 20)
+    monkeypatch.setattr(Q, "RANGES", 8)
+    rng = np.random.default_rng(7)
+    values = {"uniform": rng.random(4000), "heavy": np.where(rng.random(4000) < 0.4, 7.0, rng.integers(0, 60, 4000)),
+              "tail": np.exp(rng.normal(0, 4, 4000))}[shape]
+    frame = spark.createDataFrame([(float(v), i % 2) for i, v in enumerate(values)], "v double, g int").repartition(3)
+    points = [0.0, 0.013, 0.5, 0.75, 1.0]
+    for r in exact_quantiles(frame, ["v"], points, ["g"], 50).collect():
+        assert r.value == pytest.approx(float(np.quantile(values[r.g::2], r.probability)), rel=1e-12)
+
+
+def test_a_missed_bracket_is_widened(spark, monkeypatch):
+    monkeypatch.setattr(Q, "MARGIN", 1e-3)
+    turns, brackets = [], Q._brackets
+    monkeypatch.setattr(Q, "_brackets", lambda *a: turns.append(a[4]) or brackets(*a))
+    values = np.random.default_rng(8).random(3000)
+    frame = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(5)
+    points = [0.1, 0.5, 0.9]
+    got = exact_quantiles(frame, ["v"], points, accuracy=20).collect()
+    assert {r.probability: r.value for r in got} == {p: pytest.approx(float(np.quantile(values, p)), rel=1e-12) for p in points}
+    assert len(turns) > 1
 
 
 def _near(points, k):

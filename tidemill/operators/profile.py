@@ -50,11 +50,10 @@ def frame_info(frame: DataFrame) -> DataFrame:
 
 def describe_numeric(frame: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per numeric column."""
-    columns = list(columns or numeric_columns(frame))
-    moments = melt(frame, columns).groupBy("column").agg(
-        F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    return moments.join(_quartiles(frame, columns), "column").select(
+    points = {0.25: "q1", 0.5: "median", 0.75: "q3"}
+    found = exact_quantiles(frame, list(columns or numeric_columns(frame)), list(points), moments=True)
+    return found.groupBy("column", "mean", "std", F.col("low").alias("min"), F.col("high").alias("max"), F.col("rows").alias("count")).agg(*[
+        F.max(F.when(F.col("probability") == p, F.col("value"))).alias(name) for p, name in points.items()]).select(
         "column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
 
 

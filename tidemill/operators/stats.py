@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
+from math import exp, factorial
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,6 +89,37 @@ def group_mean_interval(frame: DataFrame, by: Sequence[str], value: str) -> Data
         (F.avg(value) - half).alias("low"), (F.avg(value) + half).alias("high"))
 
 
+#: Cumulative shares of a Poisson count of mean one, on a scale of 65,536.
+POISSON_CUTS = tuple(int(65_536 * sum(exp(-1) / factorial(j) for j in range(k + 1))) for k in range(8))
+_WORDS = 8  # sixteen-bit numbers in a digest
+
+
+def group_mean_bootstrap(frame: DataFrame, by: Sequence[str], value: str, key: Sequence[str], draws: int = 200,
+                         level: float = 0.95, seed: str = "42") -> DataFrame:
+    """Mean per group with the percentile interval of `draws` bootstrap means.
+
+    In a draw each row counts as often as a Poisson number of mean one says, which is read off a digest of the row's
+    `key`, so the draws need no resampling, no order and no state: weighted sums by group and draw, combined before the
+    shuffle. The same rows always give the same interval. Rows without a value do not count.
+    """
+    rows = frame.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_value"), F.concat_ws(
+        ":", F.lit(seed), *[F.col(c).cast("string") for c in key]).alias("_key"))
+    blocks = -(-draws // _WORDS)
+    opened = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block")).select(
+        *by, "_value", "_block", F.md5(F.concat_ws(":", "_key", F.col("_block").cast("string"))).alias("_digest"))
+    # Four hexadecimal digits compare as text like the number they stand for.
+    words = [F.struct((F.col("_block") * _WORDS + i).alias("_draw"), F.substring("_digest", 4 * i + 1, 4).alias("_word")) for i in range(_WORDS)]
+    weight = sum((F.when(F.col("_word") >= f"{cut:04x}", 1).otherwise(0) for cut in POISSON_CUTS), F.lit(0))
+    drawn = opened.select(*by, "_value", F.inline(F.array(*words))).where(
+        (F.col("_word") >= f"{POISSON_CUTS[0]:04x}") & (F.col("_draw") < draws)).withColumn("_weight", weight)
+    means = drawn.groupBy(*by, "_draw").agg((F.sum(F.col("_weight") * F.col("_value")) / F.sum("_weight")).alias("_mean"))
+    side = (1 - level) / 2
+    bounds = means.groupBy(*by).agg(F.percentile("_mean", [side, 1 - side]).alias("_bounds"))  # `draws` numbers a group
+    whole = rows.groupBy(*by).agg(F.count("*").alias("n"), F.avg("_value").alias("mean"))
+    on = reduce(and_, [whole[c].eqNullSafe(bounds[c]) for c in by]) if by else F.lit(True)
+    return whole.join(bounds, on).select(*[whole[c] for c in by], "n", "mean", F.col("_bounds")[0].alias("low"), F.col("_bounds")[1].alias("high"))
+
+
 def corr_matrix(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair of columns: (`a`, `b`, `corr`), from one aggregate.
 

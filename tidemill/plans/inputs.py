@@ -176,6 +176,14 @@ def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
 
 
+def wide_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every component of the embeddings as a column `e0`, `e1` and so on; values below -0.15 are missing."""
+    rows = table(spark, sf_dir, "embeddings")
+    width = rows.agg(F.max(F.size("embedding"))).first()[0] or 0
+    at = lambda i: F.get("embedding", F.lit(i)).cast("double")
+    return rows.select(*[F.when(at(i) >= -0.15, at(i)).alias(f"e{i}") for i in range(width)])
+
+
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with a 0/1 label (`response`: returned) and the order's priority and status."""
     lines = spread(table(spark, sf_dir, "lineitem").select(

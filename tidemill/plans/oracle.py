@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemill.operators.stats import POISSON_CUTS
+
 # Building blocks -----------------------------------------------------------------------------------------------
 
 _EVENTS = """
@@ -361,4 +363,21 @@ ORACLE_SQL: dict[str, str] = {
     "open_windows": f"""WITH {_WINDOWS}, shown AS (
         SELECT *, w + INTERVAL 10 MINUTES > (SELECT make_timestamp(max(ms) * 1000) FROM page) AS open FROM windows)
         {_WINDOW_COLUMNS.replace('FROM windows', ', open FROM shown')}""",
+    "group_mean_bootstrap": f"""WITH {_SALES},
+        hashed AS (SELECT o_orderpriority, l_linestatus, response, b.range AS block,
+            md5('42:' || l_orderkey || ':' || l_linenumber || ':' || b.range) AS h FROM sales, range(25) b),
+        words AS (SELECT o_orderpriority, l_linestatus, response, block * 8 + w.range AS draw,
+            CAST('0x' || substr(h, CAST(4 * w.range + 1 AS INT), 4) AS INT) AS u FROM hashed, range(8) w),
+        means AS (SELECT o_orderpriority, l_linestatus, draw, sum(w * response) / sum(w) AS m
+            FROM (SELECT *, {' + '.join(f'(u >= {cut})::INT' for cut in POISSON_CUTS)} AS w FROM words)
+            WHERE w > 0 GROUP BY ALL),
+        bounds AS (SELECT o_orderpriority, l_linestatus, quantile_cont(m, 0.025) AS low, quantile_cont(m, 0.975) AS high FROM means GROUP BY ALL),
+        whole AS (SELECT o_orderpriority, l_linestatus, count(*) AS n, avg(response) AS mean FROM sales GROUP BY ALL)
+        SELECT o_orderpriority, l_linestatus, n, round(mean, 5) AS mean, round(low, 5) AS low, round(high, 5) AS high
+        FROM whole JOIN bounds USING (o_orderpriority, l_linestatus)""",
+    "corr_matrix_wide": """WITH cells AS (
+            SELECT vec_id, i - 1 AS i, CASE WHEN v >= -0.15 THEN v END AS v FROM (
+                SELECT vec_id, unnest(generate_series(1, len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings))
+        SELECT 'e' || x.i AS a, 'e' || y.i AS b, count(*) FILTER (x.v IS NOT NULL AND y.v IS NOT NULL) AS n,
+            round(corr(x.v, y.v), 6) AS corr FROM cells x JOIN cells y USING (vec_id) GROUP BY x.i, y.i""",
 }

@@ -18,6 +18,7 @@ from tidemill.operators import premiums as R
 from tidemill.operators import profile as P
 from tidemill.operators import resample as S
 from tidemill.operators import stats as A
+from tidemill.operators.gram import corr_matrix_wide as corr_wide
 from tidemill.operators.visitors import repair_visitors
 from tidemill.plans import inputs as I
 from tidemill.plans.scratch import scratch_folder
@@ -497,6 +498,20 @@ def group_mean_ci(spark, sf_dir):
     return _rounded(A.group_mean_interval(I.sales(spark, sf_dir), ["o_orderpriority", "l_linestatus"], "response"), 5)
 
 
+@query
+def group_mean_bootstrap(spark, sf_dir):
+    """The plots' interval: bootstrap means of the response by priority and line status."""
+    found = A.group_mean_bootstrap(I.sales(spark, sf_dir), ["o_orderpriority", "l_linestatus"], "response", ["l_orderkey", "l_linenumber"])
+    return _rounded(found, 5)
+
+
+@query
+def corr_matrix_wide(spark, sf_dir):
+    """Correlations of all components of the embeddings; the lowest values of a component count as missing."""
+    frame = I.wide_numbers(spark, sf_dir)
+    return _rounded(corr_wide(frame, frame.columns))
+
+
 @query
 def corr_matrix(spark, sf_dir):
     return _rounded(A.corr_matrix(I.sales(spark, sf_dir), [*NUMBERS, "response"]))

@@ -50,12 +50,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     lost with that machine, so on anything but a local master a missing setting is an error.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="tidemill-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
