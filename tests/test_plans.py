@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as driver
 from tidemill.operators.neighbors import positions
+from tidemill.operators.visitors import MODES
 from tidemill.plans import inputs as I
 
 DATA = "/root/testdata/sf0.001"
@@ -47,3 +48,20 @@ def test_logs_are_parsed_once_per_scan(spark):
 def test_copies_are_limited_before_the_shuffle(spark):
     plan = _plan(positions(I.policies(spark, DATA), "id", ["premium", "balance"], 5))
     assert re.search(r"WindowGroupLimit .*Partial", plan)
+
+
+@pytest.mark.parametrize("name", ["visitor_repair", "visitor_repair_documented", "log_split"])
+def test_the_repair_parses_once_and_sorts_no_log(spark, name):
+    plan = _plan(driver.queries()[name](spark, DATA))
+    assert plan.count("parseJson") == 1
+    assert "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("mode", MODES)
+def test_the_repairs_aggregates_use_hash_tables(spark, monkeypatch, mode):
+    plans, checkpoint = [], type(spark.range(1)).checkpoint
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda frame, *a, **k: plans.append(_plan(frame)) or checkpoint(frame, *a, **k))
+    driver.queries()["visitor_repair" if mode == "as_written" else "visitor_repair_documented"](spark, DATA)
+    assert sum("HashAggregate" in p for p in plans) >= 1
+    assert not any("SortAggregate" in p for p in plans)
+    assert sum(p.count("parseJson") for p in plans) == 1

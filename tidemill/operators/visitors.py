@@ -19,9 +19,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions.dates import SHOP_ZONE, ts_to_day
 from tidemill.operators.skew import HOT_ROWS, join_state
+from tidemill.session import checkpoint_dir
 
 MODES = ("as_written", "as_documented")
 
@@ -42,36 +44,40 @@ def place_number(order: Sequence[str]) -> Column:
 
 def repair_visitors(logs: DataFrame, order: Sequence[str] = ("ts",), mode: str = "as_written",
                     zone: str = SHOP_ZONE, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Replace `is_new` by the repaired flag. `order` starts with `ts` and must order a device's records uniquely."""
+    """Replace `is_new` by the repaired flag. `order` starts with `ts` and must order a device's records uniquely.
+
+    What the repair needs of a record (device, claim, place, day) is checkpointed once, so that the parse behind `logs`
+    runs for it and for the output and not for every step between.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     if order[0] != "ts":
         raise ValueError("records are ordered by ts first; name tie-breakers after it")
+    checkpoint_dir(logs.sparkSession)
     claim = F.coalesce(F.col("is_new") == "1", F.lit(False))
-    place = F.struct(*order)
-    narrow = logs.select("mid", claim.alias("claim"), place.alias("place"))
+    whole = len(order) <= 2 and all(isinstance(logs.schema[c].dataType, T.IntegralType) for c in order)
+    place = place_number(order) if whole else F.struct(*order)
+    day = F.unix_date(ts_to_day("ts", zone))
+    narrow = logs.select("mid", claim.alias("claim"), place.alias("place"), day.alias("day")).checkpoint()
     first = _first_records(narrow) if mode == "as_documented" else _first_claims(narrow, hot_rows)
-    joined = join_state(logs, first, "mid", "records", hot_rows)
-    refuted = claim & (
-        ~F.coalesce(ts_to_day("ts", zone) == ts_to_day("opened", zone), F.lit(False))
-        | F.coalesce(place > F.col("closed"), F.lit(False))
-    )
+    state = first.select("mid", "records", F.col("opened").alias("_opened"), F.col("closed").alias("_closed")).checkpoint()
+    joined = join_state(logs, state, "mid", "records", hot_rows)
+    refuted = claim & (~F.coalesce(day == F.col("_opened"), F.lit(False)) | F.coalesce(place > F.col("_closed"), F.lit(False)))
     return joined.withColumn("is_new", F.when(refuted, "0").otherwise(F.col("is_new"))).select(*logs.columns)
 
 
 def _first_records(narrow: DataFrame) -> DataFrame:
-    """Per device the time of its first record if that is a claim, else no time: then every claim is refuted."""
-    first = narrow.groupBy("mid").agg(F.count("*").alias("records"), F.min("place").alias("place"),
-                                      F.min(F.when(F.col("claim"), F.col("place"))).alias("claimed"))
-    opened = F.when(F.col("claimed") == F.col("place"), F.col("place.ts"))
-    return first.select("mid", "records", opened.alias("opened"), F.lit(None).cast(
-        narrow.schema["place"].dataType).alias("closed"))
+    """Per device the day of its first record if that is a claim, else no day: then every claim is refuted."""
+    claimed = F.min_by(F.when(F.col("claim"), F.col("day")), "place")
+    return narrow.groupBy("mid").agg(F.count("*").alias("records"), claimed.alias("opened")).select(
+        "mid", "records", "opened", F.lit(None).cast(narrow.schema["place"].dataType).alias("closed"))
 
 
 def _first_claims(narrow: DataFrame, hot_rows: int) -> DataFrame:
-    """Per device the time of its first claim and the place of the first non-claim after it."""
-    claims = narrow.groupBy("mid").agg(F.count("*").alias("records"),
-                                       F.min(F.when(F.col("claim"), F.col("place"))).alias("claimed"))
-    later = join_state(narrow.where(~F.col("claim")), claims, "mid", "records", hot_rows).where("place > claimed")
-    closed = later.groupBy("mid").agg(F.min("place").alias("closed"))
-    return claims.join(closed, "mid", "left").select("mid", "records", F.col("claimed.ts").alias("opened"), "closed")
+    """Per device the day of its first claim and the place of the first non-claim after it."""
+    own = F.when(F.col("claim"), F.col("place"))
+    claims = narrow.groupBy("mid").agg(F.count("*").alias("records"), F.min(own).alias("claimed"),
+                                       F.min_by("day", own).alias("opened")).checkpoint()
+    later = join_state(narrow.where(~F.col("claim")), claims.select("mid", "records", "claimed"), "mid", "records", hot_rows)
+    closed = later.where("place > claimed").groupBy("mid").agg(F.min("place").alias("closed"))
+    return claims.join(closed, "mid", "left").select("mid", "records", "opened", "closed")
