@@ -87,3 +87,43 @@ def test_bad_datetime_fails(spark):
 
 def test_literal_pattern(spark):
     assert spark.sql("SELECT TIMESTAMP'2024-01-05 00:00:00' t").select(D.window_format(F.col("t"), "2024-12-11")).first()[0] == "2024-12-11"
+
+
+def _best_by_trying_all(run, words):
+    """All ways to choose words; most characters, fewest words, then earlier and longer words first."""
+    best, stack = None, [(0, ())]
+    while stack:
+        at, chosen = stack.pop()
+        if at >= len(run):
+            key = (sum(n for _, n in chosen), -len(chosen), tuple((-s, n) for s, n in chosen))
+            best = max(best, (key, chosen)) if best else (key, chosen)
+            continue
+        stack.append((at + 1, chosen))
+        stack += [(at + n, (*chosen, (at, n))) for n in range(1, len(run) - at + 1) if run[at:at + n] in words]
+    out, at = [], 0
+    for start, n in (*best[1], (len(run), 0)):
+        if start > at:
+            out.append(run[at:start])
+        if n:
+            out.append(run[start:start + n])
+        at = start + n
+    return out
+
+
+def test_best_path_among_overlapping_words():
+    draw = random.Random(4)
+    for _ in range(300):
+        words = {"".join(draw.choice("abc") for _ in range(draw.randrange(1, 5))) for _ in range(6)}
+        run = "".join(draw.choice("abcx") for _ in range(draw.randrange(9)))
+        assert X.best_words(run, X.word_trie(words)) == _best_by_trying_all(run, words)
+    trie = X.word_trie(["研究", "研究生", "生命", "起源", "", None])
+    assert X.best_words("研究生命起源", trie) == ["研究", "生命", "起源"]
+    assert X.best_words("他研究生命ab", trie) == ["他", "研究", "生命", "ab"]
+    assert len(X.best_words("ab" * 50_000, X.word_trie(["ab", "ba"]))) == 50_000
+
+
+def test_dictionary_in_sql(spark):
+    X.register_tokenizer(spark, "cut_words", ["red", "Dress"])
+    spark.createDataFrame([(1, "RedDress, 7up"), (2, None), (3, "")], "id int, text string").createOrReplaceTempView("dictionary_texts")
+    rows = spark.sql("SELECT id, s.word FROM dictionary_texts, LATERAL cut_words(text) s(word)").collect()
+    assert [(r.id, r.word) for r in rows] == [(1, "red"), (1, "dress"), (1, "7up")]

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemill.operators import gram
 from tidemill.operators import metrics as M
 from tidemill.operators import models
 from tidemill.operators import premiums as R
@@ -102,6 +104,75 @@ def test_balancing_refuses_one_row_and_chunks_many_copies(spark):
     assert whole.count() == 2996 and whole.select("base", "copy").distinct().count() == 2996
 
 
+def test_rules_of_fitted_trees(spark, tmp_path):
+    draw = random.Random(11)
+    rows = []
+    for k in range(600):
+        x, y, z = draw.random(), draw.choice([0.25, 0.5, 1.0]), draw.randrange(5)
+        rows.append((k, x, y, z, int(x * y > 0.2 or (z == 3 and draw.random() < 0.7))))
+    rows += [(900, None, 0.5, 1, 0), (901, float("nan"), 0.5, 1, 0), (902, 0.5, 0.5, None, 1)]
+    frame = spark.createDataFrame(rows, "id int, x double, `y` double, z int, label int")
+    train = frame.where("id < 400")
+    frame.write.parquet(str(tmp_path / "rows"))
+    for model in (models.fit_boosted(train, ["x", "y", "z"], "label", rounds=4, depth=3), models.fit_tree(train, ["x", "y", "z"], "label", depth=5)):
+        rules = models.tree_rules(model)
+        expected = {r.id: r.prediction for r in models.predict(model, frame).collect()}
+        assert {r.id: r.p for r in frame.select("id", rules.column().alias("p")).collect()} == expected
+        found = duckdb.sql(f"SELECT id, {rules.sql()} FROM read_parquet('{tmp_path}/rows/*.parquet')").fetchall()
+        assert dict(found) == expected
+        assert sum(p is None for p in expected.values()) == 3
+        assert set(expected.values()) == {0, 1, None}
+
+
+def _plain_bootstrap(rows, draws):
+    import hashlib
+    cuts, groups = A.POISSON_CUTS, {}
+    for group, value, key in rows:
+        if value is None:
+            continue
+        for d in range(draws):
+            digest = hashlib.md5(f"42:{key}:{d // 8}".encode()).hexdigest()
+            weight = sum(int(digest[4 * (d % 8):4 * (d % 8) + 4], 16) >= c for c in cuts)
+            sums = groups.setdefault(group, {}).setdefault(d, [0, 0.0])
+            sums[0] += weight
+            sums[1] += weight * value
+    return {g: np.percentile([s / n for n, s in by.values() if n], [2.5, 97.5]) for g, by in groups.items()}
+
+
+def test_bootstrap_interval(spark):
+    draw = random.Random(12)
+    rows = [(draw.choice(["a", "b", None]), draw.choice([0.0, 1.0, 2.5, None]), k) for k in range(300)]
+    frame = spark.createDataFrame(rows, "g string, v double, id int").repartition(3)
+    found = A.group_mean_bootstrap(frame, ["g"], "v", ["id"], draws=20).collect()
+    expected = _plain_bootstrap(rows, 20)
+    assert {r.g for r in found} == set(expected)
+    for r in found:
+        assert (r.low, r.high) == pytest.approx(tuple(expected[r.g]), rel=1e-12)
+        assert r.low < r["mean"] < r.high and r.n == sum(g == r.g and v is not None for g, v, _ in rows)
+    assert A.group_mean_bootstrap(frame.limit(0), ["g"], "v", ["id"]).collect() == []
+
+
+@pytest.mark.parametrize("block", [2, 64])
+def test_wide_correlations(spark, block):
+    rng = np.random.default_rng(13)
+    values = rng.normal(1e6, 1, (500, 5)) + np.outer(rng.normal(size=500), [1, -1, 0, 2, 0])
+    values[rng.random((500, 5)) < 0.1] = np.nan
+    values[:, 4] = 3.0
+    rows = [tuple(None if np.isnan(x) and i % 2 else float(x) for x in row) for i, row in enumerate(values)]
+    frame = spark.createDataFrame(rows, "a double, b double, `c c` double, d double, e double").repartition(70)
+    found = {(r.a, r.b): (r.n, r["corr"]) for r in gram.corr_matrix_wide(frame, frame.columns, block).collect()}
+    assert len(found) == 25
+    for i, a in enumerate(frame.columns):
+        for j, b in enumerate(frame.columns):
+            both = ~np.isnan(values[:, i]) & ~np.isnan(values[:, j])
+            n, corr = found[a, b]
+            assert n == both.sum()
+            if "e" in (a, b):
+                assert corr is None
+            else:
+                assert corr == pytest.approx(np.corrcoef(values[both, i], values[both, j])[0, 1], abs=1e-9)
+
+
 @pytest.mark.parametrize("accuracy", [50, 400, 50_000])
 @pytest.mark.parametrize("shape", ["uniform", "heavy", "tail"])
 def test_exact_quantiles(spark, accuracy, shape):

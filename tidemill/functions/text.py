@@ -65,15 +65,80 @@ def dictionary_tokens(words: Iterable[str]):
     return lambda column: cut_all(tokens(column))
 
 
-def register_tokenizer(spark: SparkSession, name: str = TOKEN_FUNCTION) -> None:
-    """Register the tokeniser as a SQL table function for `FROM t, LATERAL name(text) s(keyword)`.
+def word_trie(words: Iterable[str]) -> dict:
+    """The words, lower-cased, as nested dictionaries by character; the empty string marks the end of a word."""
+    trie: dict = {}
+    for word in words:
+        node = trie
+        for char in (word or "").lower():
+            node = node.setdefault(char, {})
+        if node is not trie:
+            node[""] = True
+    return trie
+
+
+def best_words(run: str, trie: dict) -> list[str]:
+    """Cut a run of letters into the words of a trie.
+
+    Where words overlap, the choice covers most characters, then takes fewest words, then the word that begins earlier,
+    then the longer one. What no chosen word covers stays whole between them; characters of scripts without spaces
+    become tokens one by one. One step per character and word that begins there, from the end of the run.
+    """
+    size = len(run)
+    covered, words, taken = [0] * (size + 1), [0] * (size + 1), [0] * (size + 1)
+    for at in range(size - 1, -1, -1):
+        best, node = (covered[at + 1], -words[at + 1], 0), trie
+        for end in range(at, size):
+            node = node.get(run[end])
+            if node is None:
+                break
+            if "" in node:
+                best = max(best, (covered[end + 1] + end + 1 - at, -words[end + 1] - 1, end + 1 - at))
+        covered[at], words[at], taken[at] = best[0], -best[1], best[2]
+    found, at = [], 0
+    while at < size:
+        end = at + max(1, taken[at])
+        if not taken[at] and not _unspaced(run[at]):
+            while end < size and not taken[end] and not _unspaced(run[end]):
+                end += 1
+        found.append(run[at:end])
+        at = end
+    return found
+
+
+def best_path_tokens(spark: SparkSession, words: Iterable[str]):
+    """A column function that cuts text by the best path through a dictionary; the dictionary reaches the workers once,
+    as a broadcast, and a run that occurs again in a batch is cut once."""
+    shared = spark.sparkContext.broadcast(word_trie(words))
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def cut_all(runs: pd.Series) -> pd.Series:
+        trie, known = shared.value, {}
+
+        def cut(run: str) -> list[str]:
+            if run not in known:
+                known[run] = best_words(run, trie)
+            return known[run]
+
+        return runs.map(lambda found: None if found is None else [w for run in found for w in cut(run)])
+
+    return cut_all
+
+
+def register_tokenizer(spark: SparkSession, name: str = TOKEN_FUNCTION, words: Iterable[str] | None = None) -> None:
+    """Register the tokeniser as a SQL table function for `FROM t, LATERAL name(text) s(keyword)`, with `words` the one
+    that cuts by their best path.
 
-    It is a SQL function, so Catalyst inlines it: the lateral call becomes a plain Generate node.
+    It is a SQL function, so Catalyst inlines it: the lateral call becomes a plain Generate node over whole batches.
     """
     pattern = TOKEN_PATTERN.replace("\\", "\\\\")
+    found = f"regexp_extract_all(lower(text), '{pattern}', 1)"
+    if words is not None:
+        spark.udf.register(f"{name}_cut", best_path_tokens(spark, words))
+        found = f"{name}_cut({found})"
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS TABLE({TOKEN_COLUMN} STRING) "
-        f"RETURN SELECT explode(regexp_extract_all(lower(text), '{pattern}', 1)) AS {TOKEN_COLUMN}"
+        f"RETURN SELECT explode({found}) AS {TOKEN_COLUMN}"
     )
 
 

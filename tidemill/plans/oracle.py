@@ -380,4 +380,26 @@ ORACLE_SQL: dict[str, str] = {
                 SELECT vec_id, unnest(generate_series(1, len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings))
         SELECT 'e' || x.i AS a, 'e' || y.i AS b, count(*) FILTER (x.v IS NOT NULL AND y.v IS NOT NULL) AS n,
             round(corr(x.v, y.v), 6) AS corr FROM cells x JOIN cells y USING (vec_id) GROUP BY x.i, y.i""",
+    "keyword_dictionary": r"""WITH RECURSIVE listed AS (
+            SELECT DISTINCT w FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS w FROM benchmark)
+            WHERE length(w) BETWEEN 2 AND 4),
+        vocabulary AS (SELECT list(w) AS v FROM listed),
+        runs AS (SELECT w, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS w FROM documents) GROUP BY 1),
+        best AS (
+            SELECT w, length(w) AS p, [{'c': 0, 'k': 0, 'l': 0}] AS s FROM runs
+            UNION ALL
+            SELECT w, p - 1, list_prepend(list_max(list_concat([{'c': s[1].c, 'k': s[1].k, 'l': 0}], list_transform(
+                list_filter([2, 3, 4], lambda z: z <= length(w) - p + 1 AND list_contains(v, substr(w, p, z))),
+                lambda z: {'c': s[z].c + z, 'k': s[z].k - 1, 'l': z}))), s) FROM best, vocabulary WHERE p >= 1),
+        walked AS (
+            SELECT w, s, 1 AS a, s[1].l AS l FROM best WHERE p = 0
+            UNION ALL
+            SELECT w, s, a + greatest(l, 1), s[a + greatest(l, 1)].l FROM walked WHERE a + greatest(l, 1) <= length(w)),
+        gaps AS (SELECT w, a, a - row_number() OVER (PARTITION BY w ORDER BY a) AS island FROM walked WHERE l = 0),
+        parts AS (
+            SELECT w, substr(w, a, l) AS word FROM walked WHERE l > 0
+            UNION ALL SELECT w, substr(w, min(a), CAST(count(*) AS INT)) FROM gaps GROUP BY w, island)
+        SELECT word, CAST(sum(n) AS BIGINT) AS n FROM parts JOIN runs USING (w) GROUP BY 1""",
+    "model_columns": f"""WITH {_POLICIES} SELECT id, response, true AS same_boosted, true AS same_tree FROM policies
+        WHERE CAST('0x' || substr(md5('42:' || id), 1, 8) AS UBIGINT) % 5 = 0""",
 }

@@ -18,6 +18,7 @@ from tidemill.operators import premiums as R
 from tidemill.operators import profile as P
 from tidemill.operators import resample as S
 from tidemill.operators import stats as A
+from tidemill.operators.skew import fits_broadcast
 from tidemill.operators.gram import corr_matrix_wide as corr_wide
 from tidemill.operators.visitors import repair_visitors
 from tidemill.plans import inputs as I
@@ -349,6 +350,18 @@ def keyword_tokenize(spark, sf_dir):
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
+@query
+def keyword_dictionary(spark, sf_dir):
+    """Tokens of all documents cut by the best path through a word list (the short words of the benchmark), called from
+    SQL and counted by token."""
+    found = I.table(spark, sf_dir, "benchmark").select(F.explode(X.tokens("text")).alias("word")).where("length(word) BETWEEN 2 AND 4").distinct()
+    if not fits_broadcast(found):
+        raise ValueError("this word list is too long to broadcast")
+    X.register_tokenizer(spark, "ik_dictionary", [r["word"] for r in found.collect()])
+    I.spread(I.table(spark, sf_dir, "documents").select("text")).createOrReplaceTempView("keyword_dictionary_documents")
+    return spark.sql("SELECT s.keyword AS word, count(*) AS n FROM keyword_dictionary_documents, LATERAL ik_dictionary(text) s(keyword) GROUP BY 1")
+
+
 @query
 def keyword_lateral(spark, sf_dir):
     """The SQL form: a lateral call of the registered table function."""
@@ -566,6 +579,37 @@ def tree_classifier(spark, sf_dir):
     return _scored(spark, sf_dir, models.fit_tree).select("id", "response", "prediction")
 
 
+def _fitted(spark, sf_dir):
+    """Both classifiers on the training share, and the test share."""
+    train, test = S.train_test_split(I.policies(spark, sf_dir), "id")
+    return {"boosted": models.fit_boosted(train, FEATURES, "response", rounds=10, depth=4),
+            "tree": models.fit_tree(train, FEATURES, "response", depth=6)}, test
+
+
+@query
+def model_columns(spark, sf_dir):
+    """Whether the rules of the fitted classifiers, as columns, predict what the classifiers do, for every test row."""
+    fitted, test = _fitted(spark, sf_dir)
+    for name, model in fitted.items():
+        test = models.predict(model, test).withColumn(f"same_{name}", F.col("prediction").eqNullSafe(models.tree_rules(model).column())).drop("prediction")
+    return test.select("id", "response", *[f"same_{name}" for name in fitted])
+
+
+@query
+def model_metrics(spark, sf_dir):
+    """Scores and outcomes of the fitted classifiers on the test share."""
+    fitted, test = _fitted(spark, sf_dir)
+    found = None
+    for name, model in fitted.items():
+        scored = test.withColumn("prediction", models.tree_rules(model).column())
+        outcomes = M.confusion_matrix(scored, "response", "prediction").agg(
+            F.sum("n").alias("rows"), F.sum(F.when(F.col("actual") == 1, F.col("n"))).alias("positives"))
+        row = M.classification_metrics(scored, "response", "prediction").select(F.lit(name).alias("classifier"), "*")
+        row = row.withColumn("key", F.lit(1)).join(outcomes.withColumn("key", F.lit(1)), "key").drop("key")
+        found = row if found is None else found.union(row)
+    return _rounded(found)
+
+
 def _guessed(spark, sf_dir):
     """Sales with a rule in place of a model: large discounted lines are guessed to come back."""
     guess = ((F.col("l_quantity") >= 30) & (F.col("l_discount") >= 0.03)).cast("int")
