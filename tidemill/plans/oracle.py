@@ -56,6 +56,16 @@ UNION ALL SELECT 'page', is_new, seq FROM {t} WHERE event_type <> 'signup'
 UNION ALL SELECT 'display', is_new, seq FROM {t}, range(seq % 4) WHERE event_type <> 'signup'
 UNION ALL SELECT 'action', is_new, seq FROM {t}, range(seq % 3) WHERE event_type <> 'signup'"""
 
+_SPLIT_ROWS = """
+SELECT 'err' AS tag, seq, mid, is_new, p_name AS item, NULL AS entry, CAST(NULL AS INT) AS pos, NULL AS shown,
+    CAST(NULL AS INT) AS action_no, ts FROM {t} WHERE event_type = 'error'
+UNION ALL SELECT 'start', seq, mid, is_new, NULL, 'icon', NULL, NULL, NULL, ts FROM {t} WHERE event_type = 'signup'
+UNION ALL SELECT 'page', seq, mid, is_new, p_name, NULL, NULL, NULL, NULL, ts FROM {t} WHERE event_type <> 'signup'
+UNION ALL SELECT 'display', seq, mid, is_new, p_name, NULL, CAST(r.range AS INT), p_name, NULL, ts FROM {t}, range(seq % 4) r
+    WHERE event_type <> 'signup'
+UNION ALL SELECT 'action', seq, mid, is_new, p_name, NULL, NULL, NULL, CAST(r.range AS INT), NULL FROM {t}, range(seq % 3) r
+    WHERE event_type <> 'signup'"""
+
 _SPLIT_COUNTS = f"""WITH {_WRITTEN}, tags AS ({_SPLIT_TAGS.format(t='fixed')})
 SELECT tag, is_new, count(*) AS n, CAST(sum(seq) AS BIGINT) AS seqs FROM tags GROUP BY ALL"""
 
@@ -162,8 +172,12 @@ ORACLE_SQL: dict[str, str] = {
     "csv_source": "SELECT * FROM customer",
     "dim_table_scan": """SELECT CAST(n_nationkey AS VARCHAR) AS rk, n_name AS dic_name,
         CAST(n_regionkey AS VARCHAR) AS parent_code FROM nation""",
-    "kafka_sink_records": f"WITH {_SPLIT_OUTPUTS} SELECT 'dwd_traffic_' || tag AS topic, count(*) AS n FROM tags GROUP BY 1",
-    "routed_sink": f"WITH {_ROUTED} SELECT sink_table, op, ts_ms, row_key FROM routed",
+    "kafka_sink_records": f"""WITH {_LOGS}, lines AS ({_SPLIT_ROWS.format(t='good')}
+        UNION ALL SELECT 'dirty', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM ev WHERE event_id % 97 = 0)
+        SELECT 'dwd_traffic_' || tag AS topic, * EXCLUDE (tag) FROM lines""",
+    "log_split_rows": f"WITH {_WRITTEN}, whole AS (SELECT fixed.*, p_name FROM fixed JOIN ev ON seq = event_id) {_SPLIT_ROWS.format(t='whole')}",
+    "routed_sink": f"""WITH {_ROUTED} SELECT sink_table, op, ts_ms, row_key, user_id,
+        CASE sink_table WHEN 'dim_user' THEN event_type END AS event_type, CASE sink_table WHEN 'dwd_order' THEN value END AS value FROM routed""",
     "generic_sink": "SELECT concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_orderpriority) AS value FROM orders",
     "olap_json_sink": f"WITH {_WINDOWS} {_WINDOW_COLUMNS}",
     "multi_sink": f"WITH {_SPLIT_OUTPUTS} SELECT tag, count(*) AS n FROM tags GROUP BY 1",
@@ -179,7 +193,9 @@ ORACLE_SQL: dict[str, str] = {
         CASE sink_table WHEN 'dwd_order' THEN value END AS value FROM routed""",
     "cdc_upsert_latest": _LATEST,
     "dim_table_autocreate": f"WITH {_CONFIG} SELECT sink_table AS table_name FROM config WHERE NOT removed",
-    "cdc_table_passthrough": f"WITH {_CHANGES} SELECT op, count(*) AS n, max(ts_ms) AS last_ms FROM changes GROUP BY 1",
+    "cdc_table_passthrough": f"""WITH {_CHANGES} SELECT op, ts_ms, position, CASE WHEN op = 'd' THEN user_id END AS before_user_id,
+        CASE WHEN op = 'd' THEN value END AS before_value, CASE WHEN op <> 'd' THEN user_id END AS after_user_id,
+        CASE WHEN op <> 'd' THEN value END AS after_value FROM changes""",
     "dim_enrich": """SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS code, n_name AS dic_name,
         CAST(n_regionkey AS VARCHAR) AS parent_code FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
     "log_parse_valid": f"WITH {_LOGS} SELECT seq, mid, is_new, ts FROM good",
@@ -214,8 +230,9 @@ ORACLE_SQL: dict[str, str] = {
         + _union(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS nulls FROM j"
                  for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")),
     "frame_info": _union(
-        f"SELECT '{c}' AS \"column\", count({c}) AS non_null FROM orders"
-        for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")),
+        f"SELECT '{c}' AS \"column\", '{t}' AS dtype, count({c}) AS non_null FROM orders"
+        for c, t in (("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+                     ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string"))),
     "describe_numeric": f"""WITH cells AS ({_long('lineitem', _NUMBERS)})
         SELECT "column", count(*) AS count, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS std,
                round(min(value), 4) AS min, round(quantile_cont(value, 0.25), 4) AS q1,

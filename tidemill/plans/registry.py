@@ -112,7 +112,7 @@ def kafka_sink_records(spark, sf_dir):
     """Log split outputs as Kafka records, one topic per output."""
     topics = {tag: f"dwd_traffic_{tag}" for tag in (L.ERROR, L.START, L.DISPLAY, L.ACTION, L.PAGE, L.DIRTY)}
     split = L.log_split(L.read_logs(I.app_log(spark, sf_dir)))
-    return W.routed_records(split, "tag", topics=topics).groupBy("topic").agg(F.count("*").alias("n"))
+    return _split_rows(W.routed_records(split, "tag", topics=topics), "topic")
 
 
 @query
@@ -121,7 +121,8 @@ def routed_sink(spark, sf_dir):
     path = scratch_folder(spark, "routed")
     routed = C.route_changes(C.read_changes(I.change_log(spark, sf_dir)), I.routes(spark))
     W.routed_files(routed, path, "sink_table")
-    return spark.read.parquet(path).select("sink_table", "op", "ts_ms", "row_key")
+    return spark.read.parquet(path).select("sink_table", "op", "ts_ms", "row_key", *[
+        _json(f"$.{c}", t, "payload").alias(c) for c, t in (("user_id", "bigint"), ("event_type", "string"), ("value", "double"))])
 
 
 @query
@@ -238,7 +239,8 @@ def dim_table_autocreate(spark, sf_dir):
 @query
 def cdc_table_passthrough(spark, sf_dir):
     through = C.through_sql(spark, C.read_changes(I.change_log(spark, sf_dir)), "cdc_table_passthrough_log")
-    return through.groupBy("op").agg(F.count("*").alias("n"), F.max("ts_ms").alias("last_ms"))
+    return through.select("op", "ts_ms", C.source_position().alias("position"), *[
+        _json(f"$.{c}", t, i).alias(f"{i}_{c}") for i in ("before", "after") for c, t in (("user_id", "bigint"), ("value", "double"))])
 
 
 @query
@@ -314,6 +316,15 @@ def log_page(spark, sf_dir):
                    ("displays", "$.displays", "string"), ("actions", "$.actions", "string"), ("ts", "$.ts", "bigint"))
 
 
+def _split_rows(lines: DataFrame, tag: str) -> DataFrame:
+    """The fields of every line of the log outputs; a dirty line has none."""
+    clean = ~F.col(tag).endswith(L.DIRTY)
+    fields = {"seq": ("$.common.seq", "bigint"), "mid": ("$.common.mid", "string"), "is_new": ("$.common.is_new", "string"),
+              "item": ("$.page.item", "string"), "entry": ("$.start.entry", "string"), "pos": ("$.display.pos", "int"),
+              "shown": ("$.display.item", "string"), "action_no": ("$.action.action_no", "int"), "ts": ("$.ts", "bigint")}
+    return lines.select(tag, *[F.when(clean, _json(p, t)).alias(c) for c, (p, t) in fields.items()])
+
+
 def _split_counts(split: DataFrame) -> DataFrame:
     fields = split.select("tag", _json("$.common.is_new").alias("is_new"), _json("$.common.seq", "bigint").alias("seq"))
     return fields.groupBy("tag", "is_new").agg(F.count("*").alias("n"), F.sum("seq").alias("seqs"))
@@ -325,6 +336,12 @@ def log_split(spark, sf_dir):
     return _split_counts(L.log_split(repair_visitors(_good_logs(spark, sf_dir), ("ts", "seq"))))
 
 
+@query
+def log_split_rows(spark, sf_dir):
+    """All outputs after the flag repair, line by line."""
+    return _split_rows(L.log_split(repair_visitors(_good_logs(spark, sf_dir), ("ts", "seq"))), "tag")
+
+
 # Keywords -----------------------------------------------------------------------------------------------------
 
 
@@ -410,7 +427,7 @@ def null_counts(spark, sf_dir):
 
 @query
 def frame_info(spark, sf_dir):
-    return P.frame_info(I.table(spark, sf_dir, "orders")).select("column", "non_null")
+    return P.frame_info(I.table(spark, sf_dir, "orders"))
 
 
 @query
