@@ -48,8 +48,8 @@ from tidemill.llm.common import documents_of, kept_table, mix, slices
 BUCKETS = 256
 FAN = 64
 BLOCK_PAIRS = 4_000_000
-CACHE_UNITS = 300_000
-CACHE_CHARS = 12_000_000
+CACHE_UNITS = 500_000
+CACHE_CHARS = 16_000_000
 SPARSE = 1.5  # slots a pair on every level of the hash
 _BASE = 0x9E3779B97F4A7C15
 
@@ -154,7 +154,8 @@ class Aligner:
         self.model = self.a.model
         if max(self.a.get_vocab_size(), self.b.vocab_size()) > 65_536:
             raise ValueError("ids of these vocabularies do not fit 16 bits")
-        values = {letter: value for value, letter in enumerate(byte_letters())}
+        self.letters, self.names = dict(enumerate(byte_letters())), [str(i) for i in range(65_536)]
+        values = {letter: value for value, letter in self.letters.items()}
         self.bytes_a = [b""] * self.a.get_vocab_size()
         for entry, number in self.a.get_vocab().items():
             self.bytes_a[number] = bytes(values[c] for c in entry) if all(c in values for c in entry) else entry.encode()
@@ -197,8 +198,9 @@ class Aligner:
 
     def _ids_a(self, unit: str) -> list[int]:
         word = unit[1:] if unit[0] == " " else unit
-        if word.isalpha() and word.isascii():
-            return [t.id for t in self.model.tokenize(("Ġ" if word is not unit else "") + word)]
+        if word.isalpha():  # one piece to the vocabulary's pattern
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            return [t.id for t in self.model.tokenize(letters if word is unit else "Ġ" + letters)]
         return self.a.encode(unit, add_special_tokens=False).ids
 
     def _ids_b(self, units: list[str]) -> list[list[int]]:
@@ -210,13 +212,9 @@ class Aligner:
 
     def _learn(self, units: list[str]) -> None:
         ids_a, ids_b = [self._ids_a(u) for u in units], self._ids_b(units)
-        whole = np.zeros(len(units), bool)
-        for k, unit in enumerate(units):
-            raw = unit.encode()
-            whole[k] = (b"".join([self.bytes_a[i] for i in ids_a[k]]) == raw
-                        and b"".join([self.bytes_b[i] for i in ids_b[k]]) == raw)
-            if not whole[k]:
-                ids_a[k], ids_b[k] = [], []
+        whole = self._given_back(units, ids_a, ids_b)
+        if not whole.all():
+            ids_a, ids_b = ([x if w else [] for x, w in zip(ids, whole, strict=True)] for ids in (ids_a, ids_b))
         n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
         flat_a, flat_b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (ids_a, ids_b))
         owner_a = np.repeat(np.arange(len(units)), n_a)
@@ -234,13 +232,26 @@ class Aligner:
         self.pairs = np.concatenate([self.pairs, (flat_a[of_a] << 16 | flat_b[of_b]).astype(np.uint32)])
         self.owners = np.concatenate([self.owners, owner_a[of_a] + base])
         self.chars += sum(map(len, units))
-        text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
+        text_a, text_b = (list(map(self.names.__getitem__, flat.tolist())) for flat in (flat_a, flat_b))
         stop_a, stop_b = (np.flatnonzero(closes_a) + 1).tolist(), (np.flatnonzero(closes_b) + 1).tolist()
         groups = [f"{','.join(text_a[i:j])}|{','.join(text_b[k:n])}"
                   for i, j, k, n in zip([0, *stop_a], stop_a, [0, *stop_b], stop_b)]
         upto = np.cumsum(stats[:, 2]).tolist()
         self.shown += [";".join(groups[i:j]) for i, j in zip([0, *upto], upto)]
 
+    def _given_back(self, units: list[str], ids_a: list[list[int]], ids_b: list[list[int]]) -> np.ndarray:
+        """Whether both vocabularies' tokens have the bytes of a unit: all at once, and one by one if they have not."""
+        raws = [u.encode() for u in units]
+        sizes, text, good = np.array([len(r) for r in raws]), b"".join(raws), True
+        for ids, table, width in ((ids_a, self.bytes_a, self.width_a), (ids_b, self.bytes_b, self.width_b)):
+            flat = list(chain.from_iterable(ids))
+            ends = np.concatenate([[0], np.cumsum(width[flat])])[np.cumsum([len(x) for x in ids])]
+            good = good and (np.diff(ends, prepend=0) == sizes).all() and b"".join([table[i] for i in flat]) == text
+        if good:
+            return np.ones(len(units), bool)
+        return np.array([all(b"".join([table[i] for i in ids]) == raw for ids, table in ((x, self.bytes_a), (y, self.bytes_b)))
+                         for raw, x, y in zip(raws, ids_a, ids_b, strict=True)])
+
     def usable(self, numbers: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Whether both vocabularies give a text back whole."""
         return self.sums(1 - self.stats[:, 4], numbers, starts) == 0
