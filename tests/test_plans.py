@@ -65,3 +65,8 @@ def test_the_repairs_aggregates_use_hash_tables(spark, monkeypatch, mode):
     assert sum("HashAggregate" in p for p in plans) >= 1
     assert not any("SortAggregate" in p for p in plans)
     assert sum(p.count("parseJson") for p in plans) == 1
+
+
+@pytest.mark.parametrize("name", ["value_shares", "crosstab_columns", "crosstab_sorted"])
+def test_counts_used_twice_are_evaluated_once(spark, name):
+    assert "FileScan" not in _plan(driver.queries()[name](spark, DATA))

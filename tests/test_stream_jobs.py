@@ -12,6 +12,7 @@ from test_logs import _walk, visits
 from tidemill.operators import changes as C
 from tidemill.operators.visitors import MODES
 from tidemill.sinks import writers as W
+from tidemill.sinks.dimensions import DimensionFiles
 from tidemill.sources.handover import SnapshotFiles, chunk_of, snapshot_then_changes
 from tidemill.streaming.lateness import LateStore, earlier_maximum, mark_late
 from tidemill.streaming.routing import RouteStore, routed_feed
@@ -211,6 +212,18 @@ def test_late_rows_go_aside(spark, tmp_path):
     assert sum(map(len, kept.got.values())) + sum(map(len, late.got.values())) == len(rows)
 
 
+def test_dimension_files_compact_themselves(spark, tmp_path):
+    files = DimensionFiles(spark, str(tmp_path / "dim"), "id", ["ts"], ["name"], compact_every=2)
+    for number in range(7):
+        batch = spark.createDataFrame([("u", number % 3, f"n{number}", number), ("d" if number == 4 else "u", 9, "x", number)],
+                                      "op string, id int, name string, ts long")
+        for _ in range(2 if number in (2, 5) else 1):
+            files.upsert(batch, number)
+    assert {r.id: r.name for r in files.current().collect()} == {0: "n6", 1: "n4", 2: "n5", 9: "x"}
+    assert W.complete_batches(spark, str(tmp_path / "dim/base")) == [3, 5]
+    assert W.complete_batches(spark, str(tmp_path / "dim/delta")) == [4, 5, 6]
+
+
 def test_batch_folders(spark, tmp_path):
     for number in (0, 3, 11):
         spark.range(1).write.parquet(W.batch_folder(str(tmp_path), number))

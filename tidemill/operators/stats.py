@@ -12,11 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.quantiles import exact_quantiles
+from tidemill.session import checkpoint_dir
 
 # Fixed value: normal quantile of a two-sided 95 % interval.
 Z95 = 1.959963984540054
 
 
+def _once(counts: DataFrame) -> DataFrame:
+    """Grouped counts that are used twice, checkpointed, so that the frame behind them is evaluated once."""
+    checkpoint_dir(counts.sparkSession)
+    return counts.checkpoint()
+
+
 def value_counts(frame: DataFrame, column: str) -> DataFrame:
     """(`value`, `n`), most frequent first, ties by value, nulls left out."""
     return frame.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(
@@ -25,7 +32,7 @@ def value_counts(frame: DataFrame, column: str) -> DataFrame:
 
 def value_shares(frame: DataFrame, column: str) -> DataFrame:
     """(`value`, `share`) of the non-null rows, largest first."""
-    counts = frame.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    counts = _once(frame.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")))
     total = counts.agg(F.sum("n").alias("n"))
     return counts.select("value", (F.col("n") / total.scalar()).alias("share")).orderBy(F.desc("share"), "value")
 
@@ -52,6 +59,7 @@ def crosstab(frame: DataFrame, index: str, column: str, values: Sequence | None
         return counts.drop("_row")
     if normalize == "index":
         return counts.select(index, *[(F.col(n) / F.col("_row")).alias(n) for n in names])
+    counts = _once(counts)
     totals = counts.agg(F.struct(*[F.sum(n).alias(n) for n in names]).alias("totals")).scalar()
     counts = counts.withColumn("_totals", totals)
     return counts.select(index, *[F.try_divide(F.col(n), F.col("_totals")[n]).alias(n) for n in names])
@@ -61,7 +69,7 @@ def _crosstab_long(known: DataFrame, index: str, column: str, normalize: str | N
     counts = known.groupBy(index, F.col(column).alias("value")).agg(F.count("*").alias("n"))
     if normalize is None:
         return counts
-    by = index if normalize == "index" else "value"
+    counts, by = _once(counts), index if normalize == "index" else "value"
     totals = counts.groupBy(by).agg(F.sum("n").alias("_total"))
     return counts.join(totals, by).select(index, "value", (F.col("n") / F.col("_total")).alias("share"))
 
