@@ -13,7 +13,7 @@ from tidemill.plans.registry import QUERIES
 from tidemill.session import settings_for
 
 DATA = "/root/testdata/sf0.001"
-NO_SQL = {"boosted_classifier", "tree_classifier"}
+NO_SQL = {"boosted_classifier", "model_metrics", "tree_classifier"}
 
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="the driver's tables are not here")
 
@@ -68,6 +68,16 @@ def test_models_learn_something(spark):
     assert found > scored[scored.response == 0].prediction.mean() + 0.2
 
 
+def test_scores_of_fitted_models(spark):
+    test = driver.queries()["model_columns"](spark, DATA)
+    rows, positives = test.count(), test.where("response = 1").count()
+    scores = driver.queries()["model_metrics"](spark, DATA).collect()
+    assert {r.classifier for r in scores} == {"boosted", "tree"}
+    for r in scores:
+        assert (r.rows, r.positives) == (rows, positives)
+        assert 1 - positives / rows - 0.05 < r.accuracy <= 1
+
+
 @pytest.mark.parametrize("name", ["keyword_window_count", "visitor_repair", "date_helpers", "cdc_upsert_latest", "event_time"])
 def test_results_do_not_depend_on_the_session_zone(spark, tables, name):
     before = spark.conf.get("spark.sql.session.timeZone")

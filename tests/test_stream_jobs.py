@@ -17,6 +17,7 @@ from tidemill.sources.handover import SnapshotFiles, chunk_of, snapshot_then_cha
 from tidemill.streaming.lateness import LateStore, earlier_maximum, mark_late
 from tidemill.streaming.routing import RouteStore, routed_feed
 from tidemill.streaming.visitor_days import VisitorDays
+from tidemill.streaming.visitors import STATE_TTL_MS
 
 
 def _lines(spark, rows):
@@ -171,7 +172,7 @@ def test_a_stream_with_a_time_to_live(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "0.txt").write_text(record(0) + "\n")
     got, now = _Batches(), [1000]
-    days = VisitorDays(spark, str(tmp_path / "days"), got, ttl_ms=10_000, clock=lambda: now[0])
+    days = VisitorDays(spark, str(tmp_path / "days"), got, ttl_ms=STATE_TTL_MS, clock=lambda: now[0])
     query = jobs.visitor_days_job(readers.file_lines(spark, str(tmp_path / "in"), streaming=True), days, str(tmp_path / "check")).start()
     try:
         for number, wait in enumerate((5_000, 60_000)):

@@ -419,4 +419,5 @@ ORACLE_SQL: dict[str, str] = {
         SELECT word, CAST(sum(n) AS BIGINT) AS n FROM parts JOIN runs USING (w) GROUP BY 1""",
     "model_columns": f"""WITH {_POLICIES} SELECT id, response, true AS same_boosted, true AS same_tree FROM policies
         WHERE CAST('0x' || substr(md5('42:' || id), 1, 8) AS UBIGINT) % 5 = 0""",
+    "stream_dirty_logs": f"WITH {_LOGS} SELECT event_id AS seq, 'not a JSON object' AS reason FROM ev WHERE event_id % 97 = 0",
 }

@@ -713,6 +713,20 @@ def stream_log_split(spark, sf_dir):
     return _split_counts(spark.read.parquet(out).select("tag", "value"))
 
 
+@query
+def stream_dirty_logs(spark, sf_dir):
+    """The quarantine of a live log stream, at the job's own checkpoint interval, stopped when the feed is used up."""
+    lines = _feed(spark, I.app_log(spark, sf_dir), "dirty-feed")
+    out = scratch_folder(spark, "dirty-logs")
+    job = jobs.dirty_log_job(lines, out, scratch_folder(spark, "state")).start()
+    try:
+        job.processAllAvailable()
+    finally:
+        job.stop()
+    return spark.read.schema("value string, reason string").parquet(out).select(
+        F.regexp_extract("value", r'"seq":(\d+)', 1).cast("bigint").alias("seq"), "reason")
+
+
 @query
 def stream_dimension(spark, sf_dir):
     """Streamed upserts into dimension files."""
@@ -788,7 +802,7 @@ VISITOR_PARTS = 10
 
 @query
 def stream_visitor_days(spark, sf_dir):
-    """Streamed repair of the visitor flag, the log in ten batches with a restart after each."""
+    """Streamed repair of the visitor flag, the log in ten parts that arrive two at a time, with a restart after each."""
     feed, out, state = (scratch_folder(spark, n) for n in ("visitor-feed", "visitor-days", "state"))
     lines = I.app_log(spark, sf_dir)
     number = F.regexp_extract("value", r'"seq":(\d+)', 1).cast("bigint")
@@ -797,9 +811,10 @@ def stream_visitor_days(spark, sf_dir):
     held = scratch_folder(spark, "visitor-lines")
     parted.write.partitionBy("part").parquet(held)
     days = VisitorDays(spark, scratch_folder(spark, "visitor-state"), lambda frame, n: frame.write.mode("overwrite").parquet(W.batch_folder(out, n)),
-                       ("ts", "seq"), compact_every=4)
-    for part in range(VISITOR_PARTS):
-        spark.read.schema("value string, part bigint").parquet(held).where(F.col("part") == part).select("value").write.mode("append").text(feed)
+                       ("ts", "seq"), compact_every=2)
+    for part in range(0, VISITOR_PARTS, 2):
+        rows = spark.read.schema("value string, part bigint").parquet(held).where(F.col("part").between(part, part + 1))
+        rows.select("value").write.mode("append").text(feed)
         numbered = readers.file_lines(spark, feed, streaming=True).withColumn("seq", number)
         jobs.visitor_days_job(numbered, days, state, until_done=True).start().awaitTermination()
     return spark.read.parquet(out).select("seq", "mid", "ts", "is_new")
