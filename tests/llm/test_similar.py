@@ -129,6 +129,29 @@ def test_neighbours(spark, monkeypatch, cell):
     assert hit / (20 * len(found)) >= 0.9
 
 
+def test_equal_vectors_go_by_id(spark):
+    draw = np.random.default_rng(10)
+    ids = draw.permutation(3000).tolist()
+    other = draw.normal(size=(500, 8))
+    rows = [(i, [1.0] * 8) for i in ids] + [(5000 + i, v.tolist()) for i, v in enumerate(other)]
+    rows += [(9000, [2.0] * 8)] * 30 + [(9100, [2.0] * 8)] * 3
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    found = {}
+    for r in stable_ann.nearest(frame, frame.where("vec_id IN (0, 7, 2500, 9000, 9100)"), 20).orderBy("rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    assert found[0] == found[7] == found[2500] == found[9100] == [9000] * 20
+    same = [i for i in found[9000][3:] if i < 5000]
+    assert found[9000][:3] == [9100] * 3 and same == list(range(len(same))) and len(same) > 10
+    alone = frame.where("vec_id < 9000")
+    found = {}
+    for r in stable_ann.nearest(alone, alone.where("vec_id IN (0, 7, 2500)"), 20).orderBy("rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    near = {i for i, v in enumerate(other) if v.sum() > 8}
+    for q, ids in found.items():
+        same = [i for i in ids if i < 5000]
+        assert same == [i for i in range(40) if i != q][:len(same)] and {i - 5000 for i in ids if i >= 5000} == near
+
+
 def test_few_neighbours(spark):
     frame = spark.createDataFrame([(0, [1.0, 2.0]), (20, [2.0, 1.0]), (7, [2.0, 1.0])], "vec_id long, embedding array<float>")
     rows = stable_ann.nearest(frame, frame.where("vec_id % 20 = 0"), 20).collect()
@@ -161,7 +184,7 @@ def test_pipeline(spark):
 @pytest.mark.skipif(not Path(DATA).exists(), reason="the driver's tables are not here")
 def test_registered_queries(spark):
     names = driver.queries()
-    assert {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{i}" for i in range(1, 14)}
     connection = duckdb.connect()
     for path in Path(DATA).glob("*.parquet"):
         connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")

@@ -15,8 +15,9 @@ more than a block and a few hundred queries.
 
 Cases: vectors that are null, zero, or hold a null or non-finite component take no part, neither do vectors of another
 than the most frequent length; a query finds every other row if there are fewer than k; rows with the query's own id
-are never its neighbours, other repeated rows are neighbours of their own; equal scores go to the smaller id; rows
-without an id take no part. Columns other than `vec_id` and `embedding` are not read, so they may have any name.
+are never its neighbours, other repeated rows are neighbours of their own; equal scores go to the smaller id, among
+equal vectors always, since only the rows of their k + 1 smallest ids are searched; rows without an id take no part. An
+empty table, or one without a usable vector, gives no rows. Columns other than `vec_id` and `embedding` are not read, so they may have any name.
 """
 
 from __future__ import annotations
@@ -261,10 +262,19 @@ def _answers(block: Block, ids, queries, bounds, index: Index, k: int) -> pa.Rec
         [pa.array(ids[row[good]]), pa.array(block.ids[at[good]]), pa.array(scores[good])], names=["query_id", "vec_id", "score"])
 
 
+def least_copies(rows: DataFrame, k: int) -> DataFrame:
+    """Of equal vectors the rows of the k + 1 smallest ids, at most k of one id: no query can have another of them among
+    its k nearest, since at most one id is its own. Copies are counted, and groups cut, before they meet in a task."""
+    counted = rows.groupBy("vec", "norm", "vec_id").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))
+    few = counted.withColumn("place", place).where(F.col("place") <= k + 1)
+    return few.select("vec_id", "vec", "norm", F.explode(F.sequence(F.lit(1), F.least(F.col("n"), F.lit(k).cast("long")))).alias("copy")).drop("copy")
+
+
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """`query_id`, `rank`, `vec_id`, `score`. rows, queries: `vec_id`, `embedding`."""
     spark = rows.sparkSession
-    base, asked = kept_table(usable(rows), "ann-rows"), kept_table(usable(queries), "ann-queries")
+    base, asked = kept_table(least_copies(usable(rows), k), "ann-rows"), kept_table(usable(queries), "ann-queries")
     sizes = base.groupBy(F.octet_length("vec").alias("size")).agg(F.count("*").alias("n"), F.max("norm").alias("norm"))
     common = sizes.orderBy(F.desc("n"), "size").first()
     if common is None:
