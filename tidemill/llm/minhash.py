@@ -242,20 +242,22 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
     nodes = members.select("node").distinct()
     held = documents_of(docs).withColumnRenamed("doc_id", "node").join(nodes, "node", "left_semi")
     texts = kept_table(held, "minhash-texts")
-    star = members.where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
+    # Narrow tables between the steps: a plan that holds several of them would be planned once for each use of a pair.
+    star = kept_table(members.where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct(), "minhash-stars")
     first = kept_table(verified(star, texts, width, similarity), "minhash-star")
     components = connected_components(first)
     # Candidates that a star does not show: members of one bucket that its least member does not connect.
     placed = kept_table(_with_components(members, components), "minhash-placed")
-    signs = one_each.join(nodes, "node", "left_semi").select("node", "n_shingles", "marks")
-    pairs = cross_pairs(placed.where(F.col("m") <= small))
+    signs = kept_table(one_each.join(nodes, "node", "left_semi").select("node", "n_shingles", "marks"), "minhash-signs")
+    pairs = kept_table(cross_pairs(placed.where(F.col("m") <= small)), "minhash-pairs")
     wide = placed.where(F.col("m") > small)
     opened = wide.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     asked = wide.join(opened.select("key"), "key", "left_semi").select("node").distinct()
     fine = kept_table(refined(texts.join(asked, "node", "left_semi"), width, similarity), "minhash-fine")
-    fine_members = _with_components(_shared(fine).select("key", "node"), components)
-    more = pairs.union(cross_pairs(fine_members)).distinct()
-    second = kept_table(verified(_likely(more, signs, similarity, bins), texts, width, similarity), "minhash-rest")
+    fine_members = kept_table(_with_components(_shared(fine).select("key", "node"), components), "minhash-fine-members")
+    more = pairs.union(kept_table(cross_pairs(fine_members), "minhash-fine-pairs")).distinct()
+    likely = kept_table(_likely(more, signs, similarity, bins), "minhash-likely")
+    second = kept_table(verified(likely, texts, width, similarity), "minhash-rest")
     whole = kept_table(connected_components(first.union(second)), "minhash-components")
     found = rows.select("doc_id", "n_shingles", "k1", "k2").join(labels, ["k1", "k2"], "left")
     node = F.when(F.col("n_shingles") > 0, F.coalesce("label", "doc_id")).otherwise(F.col("doc_id"))
