@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import logs as L
 from tidemill.operators.visitors import MODES, repair_visitors
+from tidemill.plans import inputs as I
 
 DAY = 86_400_000
 
@@ -139,3 +140,13 @@ def test_repair_arguments(spark):
         repair_visitors(logs, mode="other")
     with pytest.raises(ValueError):
         repair_visitors(logs, order=("mid", "ts"))
+
+
+def test_events_of_a_task_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(I, "EVENTS_A_TASK", 50)
+    spark.range(2000).selectExpr("id AS event_id", "id % 7 AS user_id", "'view' AS event_type", "1.5D AS value",
+                                 "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(300).selectExpr("id AS p_partkey", "concat('p', id) AS p_name").write.parquet(f"{tmp_path}/part.parquet")
+    for feed in (I.app_log, I.search_log, I.change_log):
+        sizes = feed(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+        assert sum(n for _, n in sizes) == 2000 and max(n for _, n in sizes) <= 60
