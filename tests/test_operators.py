@@ -387,3 +387,23 @@ def test_crosstab_forms(spark):
     assert listed == {"a": (1 / 3, 2 / 3), "b": (0.5, 0.0), "c": (0.0, 0.0)}  # value 2 counts in the rows' totals
     assert [r.value for r in A.value_counts(frame, "k").collect()] == ["a", "b"]
     assert [(r.value, r.share) for r in A.value_shares(frame, "k").collect()] == [("a", 0.75), ("b", 0.25)]
+
+
+def test_bootstrap_makes_no_row_for_each_draw(spark):
+    frame = spark.createDataFrame([("a", 1.0, 1), ("a", 2.0, 2)], "g string, v double, id int")
+    plan = A.group_mean_bootstrap(frame, ["g"], "v", ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    # Draws are opened behind the sums of a batch, and the frame is read once.
+    assert plan.count("Generate") == 1 and plan.index("Generate") < plan.index("MapInArrow") and "Join" not in plan
+
+
+def test_bootstrap_of_several_columns(spark):
+    rows = [("a", 1, 1.0, 1), ("a", None, 2.0, 2), (None, 1, 4.0, 3), (None, None, 8.0, 4), ("a", 1, float("inf"), 5), ("a", 1, 3.0, 1)] * 400
+    frame = spark.createDataFrame(rows, "g string, h int, v double, id int")
+    found = {(r.g, r.h): r for r in A.group_mean_bootstrap(frame, ["g", "h"], "v", ["id"], draws=20).collect()}
+    expected = _plain_bootstrap([((g, h), v, k) for g, h, v, k in rows], 20)
+    assert set(found) == set(expected)
+    for by, r in found.items():
+        assert r.n == sum((g, h) == by for g, h, _, _ in rows)
+        if by != ("a", 1):
+            assert (r.low, r.high) == pytest.approx(tuple(expected[by]), rel=1e-12) and r.low == r.high == r["mean"]
+    assert found["a", 1].high == float("inf") and found["a", 1].low < 4

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
+from hashlib import md5
 from itertools import combinations_with_replacement
 from math import exp, factorial
-from operator import and_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.operators.quantiles import exact_quantiles
 from tidemill.session import checkpoint_dir
@@ -100,6 +102,8 @@ def group_mean_interval(frame: DataFrame, by: Sequence[str], value: str) -> Data
 #: Cumulative shares of a Poisson count of mean one, on a scale of 65,536.
 POISSON_CUTS = tuple(int(65_536 * sum(exp(-1) / factorial(j) for j in range(k + 1))) for k in range(8))
 _WORDS = 8  # sixteen-bit numbers in a digest
+_ROWS = 2000  # rows whose draws are held at a time
+_WEIGHT_OF = np.searchsorted(POISSON_CUTS, np.arange(65_536), side="right").astype(np.uint8)
 
 
 def group_mean_bootstrap(frame: DataFrame, by: Sequence[str], value: str, key: Sequence[str], draws: int = 200,
@@ -107,25 +111,57 @@ def group_mean_bootstrap(frame: DataFrame, by: Sequence[str], value: str, key: S
     """Mean per group with the percentile interval of `draws` bootstrap means.
 
     In a draw each row counts as often as a Poisson number of mean one says, which is read off a digest of the row's
-    `key`, so the draws need no resampling, no order and no state: weighted sums by group and draw, combined before the
-    shuffle. The same rows always give the same interval. Rows without a value do not count.
+    `key`, so the draws need no resampling, no order and no state: weighted sums by group and draw, formed for a batch of
+    rows at a time (values as doubles), so that a row is not multiplied by its draws. The same rows always give the same interval. Rows without a value do not count.
     """
-    rows = frame.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_value"), F.concat_ws(
+    rows = frame.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_value"), F.concat_ws(
         ":", F.lit(seed), *[F.col(c).cast("string") for c in key]).alias("_key"))
-    blocks = -(-draws // _WORDS)
-    opened = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block")).select(
-        *by, "_value", "_block", F.md5(F.concat_ws(":", "_key", F.col("_block").cast("string"))).alias("_digest"))
-    # Four hexadecimal digits compare as text like the number they stand for.
-    words = [F.struct((F.col("_block") * _WORDS + i).alias("_draw"), F.substring("_digest", 4 * i + 1, 4).alias("_word")) for i in range(_WORDS)]
-    weight = sum((F.when(F.col("_word") >= f"{cut:04x}", 1).otherwise(0) for cut in POISSON_CUTS), F.lit(0))
-    drawn = opened.select(*by, "_value", F.inline(F.array(*words))).where(
-        (F.col("_word") >= f"{POISSON_CUTS[0]:04x}") & (F.col("_draw") < draws)).withColumn("_weight", weight)
-    means = drawn.groupBy(*by, "_draw").agg((F.sum(F.col("_weight") * F.col("_value")) / F.sum("_weight")).alias("_mean"))
+    # Shares by rows, a few for every core: digests cost far more than the bytes that splits and shuffles go by.
+    spark = rows.sparkSession
+    rows = rows.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), _ROWS):
+                yield _drawn(batch.slice(at, _ROWS), len(by), draws)
+
+    schema = T.StructType([*rows.select(*by).schema, T.StructField("_n", T.LongType()), T.StructField("_total", T.DoubleType()),
+                           T.StructField("_weights", T.ArrayType(T.LongType())), T.StructField("_sums", T.ArrayType(T.DoubleType()))])
+    partial = rows.mapInArrow(run, schema).select(
+        *by, "_n", "_total", F.posexplode(F.arrays_zip("_weights", "_sums")).alias("_draw", "_cell"))
+    means = partial.groupBy(*by, "_draw").agg(
+        F.sum("_n").alias("_n"), F.sum("_total").alias("_total"),
+        F.try_divide(F.sum("_cell._sums"), F.sum("_cell._weights")).alias("_mean")).where(F.col("_mean").isNotNull())
     side = (1 - level) / 2
-    bounds = means.groupBy(*by).agg(F.percentile("_mean", [side, 1 - side]).alias("_bounds"))  # `draws` numbers a group
-    whole = rows.groupBy(*by).agg(F.count("*").alias("n"), F.avg("_value").alias("mean"))
-    on = reduce(and_, [whole[c].eqNullSafe(bounds[c]) for c in by]) if by else F.lit(True)
-    return whole.join(bounds, on).select(*[whole[c] for c in by], "n", "mean", F.col("_bounds")[0].alias("low"), F.col("_bounds")[1].alias("high"))
+    return means.groupBy(*by).agg(
+        F.max("_n").alias("n"), F.min_by(F.col("_total") / F.col("_n"), "_draw").alias("mean"),
+        F.percentile("_mean", [side, 1 - side]).alias("_bounds"),  # `draws` numbers a group
+    ).select(*by, "n", "mean", F.col("_bounds")[0].alias("low"), F.col("_bounds")[1].alias("high"))
+
+
+def _drawn(rows: pa.RecordBatch, grouped: int, draws: int) -> pa.RecordBatch:
+    """For each group of the rows (the first `grouped` columns): rows, their sum, and by draw weights and weighted sum."""
+    group = np.zeros(len(rows), dtype=np.int64)
+    for column in rows.columns[:grouped]:
+        codes = column.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        group = np.unique(group * (codes.max() + 1) + codes, return_inverse=True)[1]
+    _, first, group = np.unique(group, return_index=True, return_inverse=True)
+    ends = [f":{block}".encode() for block in range(-(-draws // _WORDS))]
+    digests = b"".join([md5(key + end).digest() for key in rows.column("_key").cast(pa.binary()).to_pylist() for end in ends])
+    words = np.frombuffer(digests, dtype=">u2").reshape(len(rows), -1)[:, :draws]
+    weights, values = _WEIGHT_OF[words], rows.column("_value").to_numpy(zero_copy_only=False)
+    counts, sums = np.zeros((len(first), draws), np.int64), np.zeros((len(first), draws))
+    for g in range(len(first)):
+        own = group == g
+        counts[g] = weights[own].sum(axis=0, dtype=np.int64)
+        # A row that is not drawn does not count, whatever its value.
+        sums[g] = np.where(weights[own] > 0, weights[own] * values[own, None], 0.0).sum(axis=0)
+    offsets = pa.array(np.arange(len(first) + 1) * draws, pa.int32())
+    table = [c.take(pa.array(first)) for c in rows.columns[:grouped]]
+    return pa.RecordBatch.from_arrays(
+        [*table, pa.array(np.bincount(group, minlength=len(first))), pa.array(np.bincount(group, values, len(first))),
+         pa.ListArray.from_arrays(offsets, pa.array(counts.ravel())), pa.ListArray.from_arrays(offsets, pa.array(sums.ravel()))],
+        names=[*rows.schema.names[:grouped], "_n", "_total", "_weights", "_sums"])
 
 
 def corr_matrix(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
