@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +129,28 @@ def test_dictionary_in_sql(spark):
     spark.createDataFrame([(1, "RedDress, 7up"), (2, None), (3, "")], "id int, text string").createOrReplaceTempView("dictionary_texts")
     rows = spark.sql("SELECT id, s.word FROM dictionary_texts, LATERAL cut_words(text) s(word)").collect()
     assert [(r.id, r.word) for r in rows] == [(1, "red"), (1, "dress"), (1, "7up")]
+
+
+def test_runs_are_cut_in_arrow_arrays(monkeypatch):
+    monkeypatch.setattr(X, "_CHARS_PER_STEP", 40)
+    draw = random.Random(9)
+    trie = X.word_trie(["ab", "ba", "c", "acb"])
+    rows = [None if draw.random() < 0.2 else ["".join(draw.choice("abcx") for _ in range(draw.randrange(1, 60))) for _ in range(draw.randrange(5))]
+            for _ in range(200)]
+    expected = [None if r is None else [w for run in r for w in X.best_words(run, trie)] for r in rows]
+    runs = pa.array(rows, pa.list_(pa.string()))
+    assert X.cut_runs(runs, trie).to_pylist() == expected
+    assert X.cut_runs(runs.slice(7, 90), trie).to_pylist() == expected[7:97]
+    for few in ([], [None], [[]]):
+        assert X.cut_runs(pa.array(few, pa.list_(pa.string())), trie).to_pylist() == few
+
+
+def test_words_of_a_large_batch_need_little_memory():
+    trie = X.word_trie(["ab", "ba"])
+    runs = pa.array([["abba", "xabx", "b"] * 100] * 4000, pa.list_(pa.string()))
+    tracemalloc.start()
+    try:
+        assert len(X.cut_runs(runs, trie).flatten()) == 4000 * 100 * 6
+        assert tracemalloc.get_traced_memory()[1] < 80e6
+    finally:
+        tracemalloc.stop()

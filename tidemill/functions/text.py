@@ -6,6 +6,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,7 @@ TOKEN_PATTERN = r"([\p{L}\p{N}]+)"
 
 # Characters handled by one numpy step; longer texts are still taken whole.
 _CHARS_PER_STEP = 4_000_000
+_ROWS_PER_STEP = 1000
 
 
 def _col(column: Column | str) -> Column:
@@ -108,21 +111,42 @@ def best_words(run: str, trie: dict) -> list[str]:
 
 def best_path_tokens(spark: SparkSession, words: Iterable[str]):
     """A column function that cuts text by the best path through a dictionary; the dictionary reaches the workers once,
-    as a broadcast, and a run that occurs again in a batch is cut once."""
+    as a broadcast, and a run that occurs again in a step of a batch is cut once."""
     shared = spark.sparkContext.broadcast(word_trie(words))
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def cut_all(runs: pd.Series) -> pd.Series:
-        trie, known = shared.value, {}
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def cut_all(runs: pa.Array) -> pa.Array:
+        parts = [cut_runs(runs.slice(at, _ROWS_PER_STEP), shared.value) for at in range(0, len(runs), _ROWS_PER_STEP)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.string()))
 
-        def cut(run: str) -> list[str]:
-            if run not in known:
-                known[run] = best_words(run, trie)
-            return known[run]
+    return cut_all
 
-        return runs.map(lambda found: None if found is None else [w for run in found for w in cut(run)])
 
-    return cut_all
+def cut_runs(runs: pa.Array, trie: dict) -> pa.Array:
+    """Lists of runs as lists of their words. Only different runs become Python texts, about `_CHARS_PER_STEP` bytes of
+    runs at a time; lists and words stay Arrow arrays, in which a word takes its letters and four bytes."""
+    if not len(runs):
+        return pa.array([], pa.list_(pa.string()))
+    sizes = pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    stops = np.cumsum(sizes)
+    flat = runs.flatten()
+    letters = np.cumsum(pc.fill_null(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    pieces, counts = [pa.array([], pa.string())], np.zeros(len(flat), np.int64)
+    steps = np.arange(_CHARS_PER_STEP, letters[-1], _CHARS_PER_STEP) if len(flat) else []
+    edges = np.unique(np.r_[0, np.searchsorted(letters, steps), len(flat)]).astype(np.int64)
+    for begin, end in zip(edges[:-1], edges[1:]):
+        coded = flat.slice(begin, end - begin).dictionary_encode()
+        found = [best_words(run, trie) for run in coded.dictionary.to_pylist()]
+        words = np.array([len(f) for f in found], dtype=np.int64)
+        place = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        width = words[place]
+        counts[begin:end] = width
+        # The words of a run stand one behind the other: its first one, and as many after it as it has.
+        first = np.repeat((np.cumsum(words) - words)[place] - (np.cumsum(width) - width), width)
+        pieces.append(pa.array([w for f in found for w in f], pa.string()).take(pa.array(first + np.arange(len(first)))))
+    ends = np.r_[0, np.cumsum(counts)][np.r_[0, stops]]
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.concat_arrays(pieces),
+                                    mask=pc.is_null(runs))
 
 
 def register_tokenizer(spark: SparkSession, name: str = TOKEN_FUNCTION, words: Iterable[str] | None = None) -> None:
