@@ -75,6 +75,24 @@ def test_grammar_round_trip(seed):
         assert token_files.read_range(row, a, b).tolist() == ids[a:b].tolist()
 
 
+def test_grammar_ends_when_no_pair_repeats():
+    draw = np.random.default_rng(3)
+    words = [draw.integers(0, 500, 6) for _ in range(4000)]
+    ids = np.concatenate([*(words[i] for i in draw.zipf(1.2, 6000) % 4000), [7] * 1000, [8, 9] * 30])
+    ends = np.append(np.arange(40, len(ids), 977), len(ids))
+    grammar = token_files.compress(ids, ends)
+    back, stops = token_files.expand(grammar.symbols, grammar.rules, grammar.ends)
+    assert back.tolist() == ids.tolist() and stops.tolist() == ends.tolist()
+    last, seen, at = {}, {}, 0
+    for end in grammar.ends.tolist():
+        for i in range(at, end - 1):
+            pair = tuple(grammar.symbols[i:i + 2].tolist())
+            if last.get(pair) != i - 1:
+                seen[pair], last[pair] = seen.get(pair, 0) + 1, i
+        at = end
+    assert max(seen.values()) == 1
+
+
 def test_token_files(make, odd_rows):
     order = sorted(odd_rows, key=lambda r: (r[0] is not None, r[0] or 0))
     expected, start = [], 0

@@ -6,8 +6,9 @@ stands for, and where each document begins in the symbols. A document is decoded
 stored expansion lengths tell how many ids that gives, and let a reader skip to any id, without touching the rest.
 No rule reaches over a document's end.
 
-A round replaces many pairs at once: the most frequent pairs are ranked, and an occurrence is replaced where its pair
-ranks higher than the pairs that overlap it. So a shard of n ids needs a few passes instead of one for each rule.
+A round replaces many pairs at once: the most frequent pairs (`PAIRS` of them, or a third of those that repeat) are
+ranked, and an occurrence is replaced where its pair ranks higher than the pairs that overlap it. Rounds go on until no
+pair occurs twice. So a shard of n ids needs some tens of passes instead of one for each rule.
 
 The format is a Parquet folder, one row per shard, arrays as little-endian bytes: Spark commits, reads and recovers
 it anywhere. Rows: `part`, `shard` (order within the part), `first_id` (ids of the part before the shard), `n_ids`,
@@ -34,9 +35,8 @@ from tidemill.plans.scratch import scratch_folder
 
 END = 2
 SHARD_IDS = 1_000_000
-ROUNDS = 4
 PAIRS = 2048
-LEAST = 24
+LEAST = 2
 FIRST_RULE = 65_536
 BUCKET_BITS = 20
 
@@ -54,55 +54,75 @@ class Grammar:
 
     def expansions(self) -> np.ndarray:
         """Ids that each rule stands for. A rule only names symbols of earlier rounds."""
-        sizes = np.ones(len(self.rules), dtype=np.int64)
-        for k, (a, b) in enumerate(self.rules.tolist()):
-            sizes[k] = (sizes[a - FIRST_RULE] if a >= FIRST_RULE else 1) + (sizes[b - FIRST_RULE] if b >= FIRST_RULE else 1)
-        return sizes
+        return np.diff(_unfold(self.rules)[1], prepend=0)
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST) -> Grammar:
-    """ids: rows of ids below FIRST_RULE, one behind the other; ends: where each row ends."""
+def compress(ids: np.ndarray, ends: np.ndarray, rounds: int | None = None, pairs: int = PAIRS, least: int = LEAST) -> Grammar:
+    """ids: rows of ids below FIRST_RULE, one behind the other; ends: where each row ends. Goes on until no pair occurs
+    `least` times (two at least) without overlapping itself, or for `rounds` rounds where they are given."""
     symbols, ends = ids.astype(np.int64), np.asarray(ends, dtype=np.int64)
     rules: list[np.ndarray] = []
-    found = 0
-    for turn in range(rounds):
-        if len(symbols) < 2:
-            break
+    found, turn, exact = 0, 0, False
+    while len(symbols) > 1 and (rounds is None or turn < rounds):
+        turn += 1
         keys = (symbols[:-1] << 32) | symbols[1:]
         inside = np.ones(len(keys), dtype=bool)
         inside[ends[(ends > 0) & (ends < len(symbols))] - 1] = False
-        # Pairs are counted by a hash that changes with the round; a bucket speaks for one pair, so of two frequent
-        # pairs that meet in it one waits for a later round.
-        spread = (keys + turn).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        bucket = (spread >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
-        speaker = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
-        speaker[bucket] = keys
-        same = inside & (speaker[bucket] == keys)
-        counts = np.bincount(bucket[same], minlength=1 << BUCKET_BITS)
-        order = np.flatnonzero(counts >= least)
-        order = order[np.argsort(-counts[order], kind="stable")[:pairs]]
+        # Of a run of one pair (a a a a) every second occurrence counts, as the others overlap it.
+        again = np.flatnonzero(inside[1:] & inside[:-1] & (keys[1:] == keys[:-1])) + 1
+        if len(again):
+            new = np.r_[True, again[1:] != again[:-1] + 1]
+            inside[again[(np.arange(len(again)) - np.maximum.accumulate(np.where(new, np.arange(len(again)), 0))) % 2 == 0]] = False
+        place, counts, pair = _counted(keys, inside, turn, exact)
+        order = np.flatnonzero(counts >= max(2, least))
+        if len(order) < pairs and not exact:
+            # Few pairs are left, and some may hide behind others in the hash: from here on all are told apart.
+            exact = True
+            place, counts, pair = _counted(keys, inside, turn, exact)
+            order = np.flatnonzero(counts >= max(2, least))
         if not len(order):
             break
-        rank = np.zeros(1 << BUCKET_BITS, dtype=np.int32)
+        order = order[np.argsort(-counts[order], kind="stable")[:max(pairs, len(order) // 3)]]
+        rank = np.zeros(len(counts), dtype=np.int32)
         rank[order] = np.arange(len(order), 0, -1)
         weight = np.zeros(len(keys) + 2, dtype=np.int32)
-        weight[1:-1] = np.where(same, rank[bucket], 0)
+        weight[1:-1] = np.where(place >= 0, rank[place], 0)
         here = weight[1:-1]
-        # Of a run of one pair (a a a a) the first occurrence is taken, the rest waits for a later round.
-        chosen = np.flatnonzero((here > 0) & (here > weight[:-2]) & (here >= weight[2:]))
-        symbols[chosen] = FIRST_RULE + found + len(order) - here[chosen]
+        chosen = np.flatnonzero((here > weight[:-2]) & (here > weight[2:]))
+        # A pair that overlapping ones of higher rank leave but one occurrence of gets no rule in this round.
+        taken = len(order) - here[chosen]
+        useful = np.bincount(taken, minlength=len(order)) >= 2
+        chosen, taken = chosen[useful[taken]], taken[useful[taken]]
+        symbols[chosen] = FIRST_RULE + found + (np.cumsum(useful) - 1)[taken]
         gone = np.zeros(len(symbols), dtype=bool)
         gone[chosen + 1] = True
         before = np.concatenate([[0], np.cumsum(gone)])
         ends = ends - before[ends]
         symbols = symbols[~gone]
-        pair = speaker[order]
+        pair = pair[order[useful]]
         rules.append(np.stack([pair >> 32, pair & 0xFFFFFFFF], axis=1))
-        found += len(order)
+        found += len(pair)
     kept = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     return Grammar(symbols, kept, ends)
 
 
+def _counted(keys: np.ndarray, inside: np.ndarray, turn: int, exact: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of the pair at each occurrence (-1: does not count), occurrences by place, and the pair of each place.
+
+    Not `exact`, pairs are counted by a hash that changes with the round; a bucket speaks for one pair, so of two pairs
+    that meet in it one waits for a later round."""
+    if exact:
+        place = np.full(len(keys), -1, dtype=np.int64)
+        pair, place[inside], counts = np.unique(keys[inside], return_inverse=True, return_counts=True)
+        return place, counts, pair
+    spread = (keys + turn).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    bucket = (spread >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+    pair = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
+    pair[bucket[inside]] = keys[inside]
+    same = inside & (pair[bucket] == keys)
+    return np.where(same, bucket, -1), np.bincount(bucket[same], minlength=1 << BUCKET_BITS), pair
+
+
 def expand(symbols: np.ndarray, rules: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a row of symbols, and where each stretch that ended at `ends` now ends."""
     ends = np.array([len(symbols)]) if ends is None else np.asarray(ends, dtype=np.int64)
