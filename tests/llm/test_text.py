@@ -66,6 +66,19 @@ def test_toxicity_on_held_out_rows(spark, make, odd_rows):
     assert toxicity.clean_documents(docs, docs, known).columns == docs.columns
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark, make, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAIN_WORDS", 400)
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 300, raising=False)
+    draw = random.Random(6)
+    common = ["".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(200)]
+    bad = [f"{a}{b}zz" for a in "klmnop" for b in "qrstu"]
+    rows = [(i, " ".join([*draw.choices(common, k=12), *([draw.choice(bad)] if i % 3 == 0 else [])])) for i in range(1500)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    scored = toxicity.score_documents(make(rows), labels).collect()
+    held = [r.toxic == (r.doc_id % 3 == 0) for r in scored if r.held_out]
+    assert len(held) > 300 and sum(held) / len(held) > 0.95
+
+
 def test_toxicity_without_labels(spark, make, odd_rows):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in toxicity.score_documents(make(odd_rows), none).collect()} == {0.0}
