@@ -156,6 +156,25 @@ def test_language_model(make, odd_rows):
     assert recurrent_lm.score_documents(make([])).collect() == []
 
 
+def test_language_model_learns_from_all_documents(spark, make, monkeypatch):
+    monkeypatch.setattr(recurrent_lm, "TRAIN_TOKENS", 600)
+    draw = random.Random(8)
+    follow = {f"w{i}": f"w{(7 * i + 3) % 40}" for i in range(40)}
+    rows = []
+    for i in range(1500):
+        words = [draw.choice(list(follow))]
+        while len(words) < 150:
+            words.append(follow[words[-1]])
+        rows.append((i, " ".join(words)))
+    docs = make(rows).coalesce(1)
+    words = recurrent_lm.common_words(recurrent_lm.count_words(docs))
+    begun = recurrent_lm.train(words, recurrent_lm.sample_symbols(docs, words))
+    ended = recurrent_lm.refine(docs, words, begun)
+    symbols = np.concatenate([recurrent_lm.sample_symbols(docs, words)[0]])
+    lengths = np.array([len(symbols)])
+    assert recurrent_lm.score_symbols(ended, symbols, lengths)[0] > 0.8 * recurrent_lm.score_symbols(begun, symbols, lengths)[0]
+
+
 def test_language_model_adds_up_to_one():
     words = recurrent_lm.Words(np.arange(8, 808, 8).astype(np.uint64), np.arange(1, 101), np.arange(100), 5050, 100,
                                np.full(8, 10.0), np.full(8, 3.0))

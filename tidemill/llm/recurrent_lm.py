@@ -7,9 +7,10 @@ probability of the token's class and, inside a class of the vocabulary, of the w
 share of the class's training tokens (one more for each, one for all unknown words). So the probabilities of all words
 and one unknown word of each open class add up to 1.
 
-Counts cover all training documents. The recurrent weights are learnt by truncated backpropagation on a bounded sample
-of them (`TRAIN_TOKENS`, documents in the order of a hash of their id), starting from output biases that reproduce the
-counts of the whole corpus. Scoring carries the state through all windows of a document, in many documents at once;
+Counts cover all training documents. The recurrent weights are learnt by truncated backpropagation, starting from output
+biases that reproduce the counts of the whole corpus: first on `TRAIN_TOKENS` tokens (documents in the order of a hash of
+their id), so that all tasks begin near one another, then in one pass over all training documents, in which every task
+goes on with its own ones and the weights of the tasks are averaged by their tokens. Scoring carries the state through all windows of a document, in many documents at once;
 each task packs its documents into parallel lanes.
 
 The counts of the `COMMON` most frequent words travel to the tasks (a fixed number of them); tokens that are rarer leave
@@ -209,31 +210,75 @@ def train(words: Words, documents: list[np.ndarray]) -> Model:
     lengths = np.array([len(d) for d in documents], dtype=np.int64)
     if not len(lengths):
         return model
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in model.parts]
-    turn = 0
+    moments, turn = _moments(model), 0
     for epoch in range(EPOCHS):
-        lanes = lanes_of(lengths, TRAIN_LANES)
-        streams = [np.concatenate([documents[d] for d in lane]) for lane in lanes]
-        steps = max(len(s) for s in streams)
-        h, before = np.zeros((len(lanes), HIDDEN), np.float32), np.zeros(len(lanes), dtype=np.int64)
-        for at in range(0, steps, STEPS):
-            active = sum(len(s) > at for s in streams)
-            target = np.full((active, STEPS), -1, dtype=np.int64)
-            for lane in range(active):
-                piece = streams[lane][at:at + STEPS]
-                target[lane, :len(piece)] = piece
-            given = np.concatenate([before[:active, None], target[:, :-1]], axis=1)
-            gradients, h[:active] = _window(model, given, target, h[:active])
-            before[:active] = target[:, -1]
-            turn += 1
-            rate = RATE * (0.3 if epoch else 1.0) * math.sqrt(1 - 0.999 ** turn) / (1 - 0.9 ** turn)
-            for p, g, (m, v) in zip(model.parts, gradients, moments):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                p -= rate * m / (np.sqrt(v) + 1e-7)
+        turn = _epoch(model, moments, turn, documents, 0.3 if epoch else 1.0)
     return model
 
 
+def _moments(model: Model) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(np.zeros_like(p), np.zeros_like(p)) for p in model.parts]
+
+
+def _epoch(model: Model, moments: list, turn: int, documents: list[np.ndarray], pace: float) -> int:
+    lanes = lanes_of(np.array([len(d) for d in documents], dtype=np.int64), TRAIN_LANES)
+    streams = [np.concatenate([documents[d] for d in lane]) for lane in lanes]
+    steps = max(len(s) for s in streams)
+    h, before = np.zeros((len(lanes), HIDDEN), np.float32), np.zeros(len(lanes), dtype=np.int64)
+    for at in range(0, steps, STEPS):
+        active = sum(len(s) > at for s in streams)
+        target = np.full((active, STEPS), -1, dtype=np.int64)
+        for lane in range(active):
+            piece = streams[lane][at:at + STEPS]
+            target[lane, :len(piece)] = piece
+        given = np.concatenate([before[:active, None], target[:, :-1]], axis=1)
+        gradients, h[:active] = _window(model, given, target, h[:active])
+        before[:active] = target[:, -1]
+        turn += 1
+        rate = RATE * pace * math.sqrt(1 - 0.999 ** turn) / (1 - 0.9 ** turn)
+        for p, g, (m, v) in zip(model.parts, gradients, moments):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            p -= rate * m / (np.sqrt(v) + 1e-7)
+    return turn
+
+
+def refine(docs: DataFrame, words: Words, model: Model) -> Model:
+    """The model after one pass over all training documents, `TRAIN_TOKENS` of a task in memory at a time."""
+    shared = docs.sparkSession.sparkContext.broadcast((words, model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, start = shared.value
+        model = Model(*(p.copy() for p in start.parts))
+        moments, turn, held, size, seen = _moments(model), 0, [], 0, 0
+        for batch in batches:
+            for part in slices(batch):
+                keys, counts = word_keys(part.column("text"))
+                symbols, ends = words.symbols(keys, words.find(keys)), np.cumsum(counts)
+                held += [np.append(symbols[e - c:e], 0) for c, e in zip(counts, ends)]
+                size += len(symbols) + len(counts)
+                if size >= TRAIN_TOKENS:
+                    turn, held, size, seen = _epoch(model, moments, turn, held, 0.3), [], 0, seen + size
+        if held:
+            turn, seen = _epoch(model, moments, turn, held, 0.3), seen + size
+        if seen:
+            flat = np.concatenate([p.ravel() for p in model.parts]).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([flat.tolist()], pa.list_(pa.float64()))], names=["n", "weights"])
+
+    learnt = documents_of(docs).where(F.coalesce(remainder("doc_id", HELD_DIVISOR) != HELD_REMAINDER, F.lit(True)))
+    each = kept_table(learnt.select("text").mapInArrow(run, "n long, weights array<double>"), "lm-weights")
+    means = each.select("n", F.posexplode("weights")).groupBy("pos").agg((F.sum(F.col("n") * F.col("col")) / F.sum("n")).alias("mean")).toArrow()
+    shared.unpersist()
+    if not len(means):
+        return model
+    flat, at, parts = np.zeros(len(means)), 0, []
+    flat[np.asarray(means["pos"])] = np.asarray(means["mean"])
+    for p in model.parts:
+        parts.append(flat[at:at + p.size].reshape(p.shape).astype(np.float32))
+        at += p.size
+    return Model(*parts)
+
+
 def _window(model: Model, given: np.ndarray, target: np.ndarray, h: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Gradients of the mean log loss over one window, and the state after it."""
     width, steps = given.shape
@@ -333,7 +378,7 @@ def common_words(counts: DataFrame) -> Words:
 
 
 def sample_symbols(docs: DataFrame, words: Words) -> list[np.ndarray]:
-    """Symbols of training documents in the order of a hash of their id, `TRAIN_TOKENS` of them at most."""
+    """Symbols of training documents in the order of a hash of their id, `TRAIN_TOKENS` of them at most, to begin with."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
     rows = documents_of(docs).where(F.coalesce(remainder("doc_id", HELD_DIVISOR) != HELD_REMAINDER, F.lit(True)))
     rows = rows.select("text", F.xxhash64("doc_id", "text").alias("place"))
@@ -410,7 +455,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """`doc_id`, `held_out`, `n_tokens`, `n_known`, `train_tokens`, `base_score`, `score` of every document."""
     counts = kept_table(count_words(docs), "lm-counts")
     words = common_words(counts)
-    model = train(words, sample_symbols(docs, words))
+    model = refine(docs, words, train(words, sample_symbols(docs, words)))
     rows = kept_table(_scored(docs, words, model), "lm-rows")
     unit = math.log10(words.total + words.distinct + 1)
     inner = F.array(*[F.lit(float(x)) for x in np.log10(words.open_tokens + words.open_words + 1)])
