@@ -212,7 +212,7 @@ def train(words: Words, documents: list[np.ndarray]) -> Model:
         return model
     moments, turn = _moments(model), 0
     for epoch in range(EPOCHS):
-        turn = _epoch(model, moments, turn, documents, 0.3 if epoch else 1.0)
+        turn = _epoch(model, moments, turn, documents, 0.3 if epoch else 1.0, TRAIN_LANES)
     return model
 
 
@@ -220,8 +220,8 @@ def _moments(model: Model) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(np.zeros_like(p), np.zeros_like(p)) for p in model.parts]
 
 
-def _epoch(model: Model, moments: list, turn: int, documents: list[np.ndarray], pace: float) -> int:
-    lanes = lanes_of(np.array([len(d) for d in documents], dtype=np.int64), TRAIN_LANES)
+def _epoch(model: Model, moments: list, turn: int, documents: list[np.ndarray], pace: float, width: int) -> int:
+    lanes = lanes_of(np.array([len(d) for d in documents], dtype=np.int64), width)
     streams = [np.concatenate([documents[d] for d in lane]) for lane in lanes]
     steps = max(len(s) for s in streams)
     h, before = np.zeros((len(lanes), HIDDEN), np.float32), np.zeros(len(lanes), dtype=np.int64)
@@ -258,9 +258,9 @@ def refine(docs: DataFrame, words: Words, model: Model) -> Model:
                 held += [np.append(symbols[e - c:e], 0) for c, e in zip(counts, ends)]
                 size += len(symbols) + len(counts)
                 if size >= TRAIN_TOKENS:
-                    turn, held, size, seen = _epoch(model, moments, turn, held, 0.3), [], 0, seen + size
+                    turn, held, size, seen = _epoch(model, moments, turn, held, 0.6, LANES), [], 0, seen + size
         if held:
-            turn, seen = _epoch(model, moments, turn, held, 0.3), seen + size
+            turn, seen = _epoch(model, moments, turn, held, 0.6, LANES), seen + size
         if seen:
             flat = np.concatenate([p.ravel() for p in model.parts]).astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([flat.tolist()], pa.list_(pa.float64()))], names=["n", "weights"])
