@@ -16,3 +16,12 @@ def spark():
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def no_views_left(spark):
+    """Drop the session's temporary views behind each module; a listing of any database would show them."""
+    yield
+    for view in spark.sql("SHOW VIEWS").collect():
+        if view.isTemporary:
+            spark.catalog.dropTempView(view.viewName)
