@@ -227,6 +227,27 @@ def test_language_model_gradient():
         assert math.isclose(slope / gradient[at], norm, rel_tol=0.05)
 
 
+def test_training_windows_share_their_memory():
+    """A window after the first makes few arrays of its own, and its gradients are those of a window by itself."""
+    words = recurrent_lm.Words(np.zeros(0, np.uint64), np.zeros(0, int), np.zeros(0, int), 0, 0, np.ones(8), np.ones(8))
+    model, draw = recurrent_lm.start_model(words), np.random.default_rng(5)
+    moments, peaks = recurrent_lm._moments(model), []
+    window = recurrent_lm._window
+
+    def watched(*given):
+        tracemalloc.start()
+        found = window(*given)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(found[0], window(*given[:4])[0], strict=True))
+        return found
+
+    documents = [np.append(draw.integers(1, 2056, 400), 0) for _ in range(300)]
+    with mock.patch.object(recurrent_lm, "_window", watched):
+        recurrent_lm._epoch(model, moments, 0, documents, 0.6, recurrent_lm.LANES)
+    assert len(peaks) == 13 and max(peaks[1:]) < 8e6 < peaks[0]
+
+
 def test_long_documents_score_as_in_one_piece():
     words = recurrent_lm.Words(np.zeros(0, np.uint64), np.zeros(0, int), np.zeros(0, int), 0, 0, np.ones(8), np.ones(8))
     model = recurrent_lm.start_model(words)

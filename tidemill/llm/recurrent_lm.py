@@ -129,13 +129,45 @@ def lanes_of(lengths: np.ndarray, lanes: int) -> list[list[int]]:
     return [dealt[lane] for _, lane in sorted(heap, reverse=True)]
 
 
+def _laid(lanes: list[list[np.ndarray]], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of each lane, one behind the other, as a row that ends in -1; and the length of each lane."""
+    loads = np.array([sum(map(len, lane)) for lane in lanes])
+    rows = np.full((len(lanes), int(loads.max())), -1, dtype=kind)
+    for row, lane, load in zip(rows, lanes, loads.tolist()):
+        np.concatenate(lane, out=row[:load], casting="unsafe")
+    return rows, loads
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+class Room:
+    """Arrays by name that one window after the other uses: memory new from the system costs more than the sums in it."""
+
+    def __init__(self, kind: np.dtype) -> None:
+        self.kind, self.held = kind, {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        size = math.prod(shape)
+        if name not in self.held or self.held[name].size < size:
+            self.held[name] = np.empty(size, self.kind)
+        return self.held[name][:size].reshape(shape)
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """In the place of x."""
+    x = np.exp(_shifted(x)[0], out=x)
+    x *= np.reciprocal(x @ np.ones(x.shape[1], np.float32))[:, None]
+    return x
+
+
+def _shifted(x: np.ndarray) -> tuple[np.ndarray, np.ndarray | np.float32]:
+    """x without its rows' maxima, and these; as it is, and 0, where no value is far enough from 0 for exp to need that."""
+    if not x.size or max(x.max(), -x.min()) < 60:
+        return x, np.float32(0)
+    top = x.max(axis=1)
+    return x - top[:, None], top
 
 
 def score_symbols(model: Model, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -146,38 +178,33 @@ def score_symbols(model: Model, symbols: np.ndarray, lengths: np.ndarray) -> np.
         return result
     ends = np.cumsum(lengths)
     lanes = lanes_of(lengths, LANES)
-    loads = np.array([sum(int(lengths[d]) for d in lane) for lane in lanes])
-    width, steps = len(lanes), int(loads.max())
+    every, loads = _laid([[symbols[ends[d] - lengths[d]:ends[d]] for d in lane] for lane in lanes], np.int16)
+    owners, _ = _laid([[np.repeat(lane, lengths[lane])] for lane in lanes], np.int32)
+    width, steps = every.shape
     table = (model.embed @ model.wx + model.b).astype(np.float32)
-    # Gate by gate, so that every product and every gate is one stretch of memory.
     h = np.zeros((width, HIDDEN), np.float32)
-    target = np.zeros((width, STEPS), dtype=np.int64)
-    owner = np.zeros((width, STEPS), dtype=np.int64)
-    streams = [np.concatenate([symbols[ends[d] - lengths[d]:ends[d]] for d in lane]) for lane in lanes]
-    owners = [np.repeat(lane, lengths[lane]) for lane in lanes]
     before = np.zeros(width, dtype=np.int64)
     for at in range(0, steps, STEPS):
         active = int((loads > at).sum())
-        target[:], owner[:] = -1, -1
-        for lane in range(active):
-            piece = streams[lane][at:at + STEPS]
-            target[lane, :len(piece)], owner[lane, :len(piece)] = piece, owners[lane][at:at + STEPS]
-        most = min(STEPS, steps - at)
-        states = np.zeros((most, active, HIDDEN), np.float32)
-        last = before[:active]
+        target = every[:active, at:at + STEPS].astype(np.int64)
+        owner = owners[:active, at:at + STEPS]
+        most = target.shape[1]
+        given = np.concatenate([before[None, :active], target[:, :-1].T])
+        gates, fresh = table[np.maximum(given, 0)], (given != 0).astype(np.float32)[:, :, None]
+        states = np.empty((most, active, HIDDEN), np.float32)
+        now = h[:active]
         for t in range(most):
             # Symbol 0 ends a document: the next one starts from an empty state.
-            h[:active][last == 0] = 0
-            gates, back = table[np.maximum(last, 0)], h[:active] @ model.wh
-            zr = _sigmoid(gates[:, :2 * HIDDEN] + back[:, :2 * HIDDEN])
+            now = now * fresh[t]
+            back = now @ model.wh
+            zr = _sigmoid(gates[t, :, :2 * HIDDEN] + back[:, :2 * HIDDEN])
             z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-            new = np.tanh(gates[:, 2 * HIDDEN:] + r * back[:, 2 * HIDDEN:])
-            h[:active] = new + z * (h[:active] - new)
-            states[t] = h[:active]
-            last = target[:active, t]
-        before[:active] = last
-        real = target[:active, :most].T.ravel() >= 0
-        goal, doc = target[:active, :most].T.ravel()[real], owner[:active, :most].T.ravel()[real]
+            new = np.tanh(gates[t, :, 2 * HIDDEN:] + r * back[:, 2 * HIDDEN:])
+            now = new + z * (now - new)
+            states[t] = now
+        h[:active], before[:active] = now, target[:, -1]
+        real = target.T.ravel() >= 0
+        goal, doc = target.T.ravel()[real], owner.T.ravel()[real]
         found = _outputs(model, states.reshape(-1, HIDDEN)[real], goal)
         result += np.bincount(doc, weights=found, minlength=len(lengths))
     return result
@@ -186,22 +213,32 @@ def score_symbols(model: Model, symbols: np.ndarray, lengths: np.ndarray) -> np.
 def _outputs(model: Model, states: np.ndarray, goal: np.ndarray) -> np.ndarray:
     group = np.where(goal < VOCABULARY, goal // CLASS, VOCABULARY // CLASS + goal - VOCABULARY)
     logits = states @ model.wc + model.bc
-    rows = np.arange(len(goal))
-    total = logits[rows, group] - _log_sum(logits)
-    order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(VOCABULARY // CLASS + 1))
-    for c in range(VOCABULARY // CLASS):
-        own = order[edges[c]:edges[c + 1]]
-        if len(own):
-            words = slice(c * CLASS, (c + 1) * CLASS)
-            inner = states[own] @ model.ww[words].T + model.bw[words]
-            total[own] += inner[np.arange(len(own)), goal[own] - c * CLASS] - _log_sum(inner)
+    total = logits[np.arange(len(goal)), group] - _log_sum(logits)
+    own, edges = _by_class(group)
+    inner = _inside(model, states[own], edges, np.empty((len(own), CLASS), states.dtype))
+    total[own] += inner[np.arange(len(own)), goal[own] % CLASS] - _log_sum(inner)
     return total
 
 
+def _by_class(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows whose word lies in a class of the vocabulary, by class, and where each class begins and ends."""
+    order = np.argsort(group.astype(np.int16), kind="stable")
+    edges = np.searchsorted(group[order], np.arange(VOCABULARY // CLASS + 1))
+    return order[:edges[-1]], edges
+
+
+def _inside(model: Model, states: np.ndarray, edges: np.ndarray, inner: np.ndarray) -> np.ndarray:
+    """Logits of the words of each row's class, in `inner`. states: rows by class."""
+    for c in np.flatnonzero(np.diff(edges)).tolist():
+        rows, words = slice(edges[c], edges[c + 1]), slice(c * CLASS, (c + 1) * CLASS)
+        np.matmul(states[rows], model.ww[words].T, out=inner[rows])
+        inner[rows] += model.bw[words]
+    return inner
+
+
 def _log_sum(x: np.ndarray) -> np.ndarray:
-    top = x.max(axis=1)
-    return top + np.log(np.exp(x - top[:, None]).sum(axis=1))
+    x, top = _shifted(x)
+    return top + np.log(np.exp(x) @ np.ones(x.shape[1], np.float32))
 
 
 def train(words: Words, documents: list[np.ndarray]) -> Model:
@@ -222,17 +259,15 @@ def _moments(model: Model) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def _epoch(model: Model, moments: list, turn: int, documents: list[np.ndarray], pace: float, width: int) -> int:
     lanes = lanes_of(np.array([len(d) for d in documents], dtype=np.int64), width)
-    streams = [np.concatenate([documents[d] for d in lane]) for lane in lanes]
-    steps = max(len(s) for s in streams)
-    h, before = np.zeros((len(lanes), HIDDEN), np.float32), np.zeros(len(lanes), dtype=np.int64)
-    for at in range(0, steps, STEPS):
-        active = sum(len(s) > at for s in streams)
+    symbols, loads = _laid([[documents[d] for d in lane] for lane in lanes], np.int16)
+    h, before, room = np.zeros((len(lanes), HIDDEN), np.float32), np.zeros(len(lanes), dtype=np.int64), Room(model.b.dtype)
+    for at in range(0, symbols.shape[1], STEPS):
+        active = int((loads > at).sum())
         target = np.full((active, STEPS), -1, dtype=np.int64)
-        for lane in range(active):
-            piece = streams[lane][at:at + STEPS]
-            target[lane, :len(piece)] = piece
+        piece = symbols[:active, at:at + STEPS]
+        target[:, :piece.shape[1]] = piece
         given = np.concatenate([before[:active, None], target[:, :-1]], axis=1)
-        gradients, h[:active] = _window(model, given, target, h[:active])
+        gradients, h[:active] = _window(model, given, target, h[:active], room)
         before[:active] = target[:, -1]
         turn += 1
         rate = RATE * pace * math.sqrt(1 - 0.999 ** turn) / (1 - 0.9 ** turn)
@@ -279,67 +314,98 @@ def refine(docs: DataFrame, words: Words, model: Model) -> Model:
     return Model(*parts)
 
 
-def _window(model: Model, given: np.ndarray, target: np.ndarray, h: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+def _window(model: Model, given: np.ndarray, target: np.ndarray, h: np.ndarray, room: Room | None = None) -> tuple[list[np.ndarray], np.ndarray]:
     """Gradients of the mean log loss over one window, and the state after it."""
     width, steps = given.shape
-    n = HIDDEN
-    kept = []
-    states = np.zeros((steps, width, n), np.float32)
+    n, size, room = HIDDEN, width * steps, room or Room(model.b.dtype)
+    # All that does not depend on the step before it is done for the whole window at once, step by step in memory.
+    given = given.T
+    seen, fresh = np.maximum(given, 0).ravel(), (given != 0).astype(np.float32)[:, :, None]
+    x = np.take(model.embed, seen, axis=0, out=room("x", size, EMBED), mode="clip")
+    gates = np.matmul(x, model.wx, out=room("gates", size, 3 * n))
+    gates += model.b
+    gates = gates.reshape(steps, width, 3 * n)
+    old, zr, inner, new, states = (room(name, steps, width, k) for name, k in (("old", n), ("zr", 2 * n), ("inner", n), ("new", n), ("states", n)))
+    z, r = zr[:, :, :n], zr[:, :, n:]
     for t in range(steps):
-        h = np.where((given[:, t] == 0)[:, None], np.float32(0), h)
-        x = model.embed[np.maximum(given[:, t], 0)]
-        gates, back = x @ model.wx + model.b, h @ model.wh
-        zr = _sigmoid(gates[:, :2 * n] + back[:, :2 * n])
-        z, r = zr[:, :n], zr[:, n:]
-        new = np.tanh(gates[:, 2 * n:] + r * back[:, 2 * n:])
-        kept.append((h, x, z, r, new, back[:, 2 * n:]))
-        h = new + z * (h - new)
-        states[t] = h
+        np.multiply(h, fresh[t], out=old[t])
+        back = old[t] @ model.wh
+        both = np.add(gates[t, :, :2 * n], back[:, :2 * n], out=zr[t])
+        both *= 0.5
+        np.tanh(both, out=both)
+        both *= 0.5
+        both += 0.5
+        inner[t] = back[:, 2 * n:]
+        now = np.multiply(r[t], inner[t], out=new[t])
+        now += gates[t, :, 2 * n:]
+        np.tanh(now, out=now)
+        h = np.subtract(old[t], now, out=states[t])
+        h *= z[t]
+        h += now
+    end = h.copy()
     goal = target.T.ravel()
     rows = np.flatnonzero(goal >= 0)
-    flat, goal = states.reshape(-1, n)[rows], goal[rows]
+    flat, goal = np.take(states.reshape(-1, n), rows, axis=0, out=room("flat", len(rows), n), mode="clip"), goal[rows]
     scale = np.float32(1 / max(1, len(rows)))
     group = np.where(goal < VOCABULARY, goal // CLASS, VOCABULARY // CLASS + goal - VOCABULARY)
-    wrong = np.exp(_log_softmax(flat @ model.wc + model.bc))
+    wrong = np.matmul(flat, model.wc, out=room("wrong", len(rows), len(model.bc)))
+    wrong += model.bc
+    wrong = _softmax(wrong)
     wrong[np.arange(len(goal)), group] -= 1
     wrong *= scale
-    g_wc, g_bc, g_flat = flat.T @ wrong, wrong.sum(axis=0), wrong @ model.wc.T
+    g_wc, g_bc, g_flat = flat.T @ wrong, wrong.sum(axis=0), np.matmul(wrong, model.wc.T, out=room("g_flat", len(rows), n))
     g_ww, g_bw = np.zeros_like(model.ww), np.zeros_like(model.bw)
-    order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(VOCABULARY // CLASS + 1))
-    for c in range(VOCABULARY // CLASS):
-        own = order[edges[c]:edges[c + 1]]
-        if len(own):
-            words = slice(c * CLASS, (c + 1) * CLASS)
-            off = np.exp(_log_softmax(flat[own] @ model.ww[words].T + model.bw[words]))
-            off[np.arange(len(own)), goal[own] - c * CLASS] -= 1
-            off *= scale
-            g_ww[words], g_bw[words] = off.T @ flat[own], off.sum(axis=0)
-            g_flat[own] += off @ model.ww[words]
-    g_states = np.zeros((steps * width, n), np.float32)
+    own, edges = _by_class(group)
+    mine = np.take(flat, own, axis=0, out=room("mine", len(own), n), mode="clip")
+    off = _softmax(_inside(model, mine, edges, room("off", len(own), CLASS)))
+    off[np.arange(len(own)), goal[own] % CLASS] -= 1
+    off *= scale
+    g_mine = room("g_mine", len(own), n)
+    for c in np.flatnonzero(np.diff(edges)).tolist():
+        part, words = slice(edges[c], edges[c + 1]), slice(c * CLASS, (c + 1) * CLASS)
+        g_ww[words], g_bw[words] = off[part].T @ mine[part], off[part].sum(axis=0)
+        np.matmul(off[part], model.ww[words], out=g_mine[part])
+    g_flat[own] += g_mine
+    g_states = room("g_states", size, n)
+    g_states[:] = 0
     g_states[rows] = g_flat
     g_states = g_states.reshape(steps, width, n)
-    g_embed, g_wx, g_wh, g_b = (np.zeros_like(p) for p in (model.embed, model.wx, model.wh, model.b))
+    # What a step's gradient is multiplied by on its way to each gate, in the places of values used up by it.
+    to_z = np.subtract(old, new, out=room("to_z", steps, width, n))
+    to_z *= z
+    rest = np.subtract(1, z, out=room("rest", steps, width, n))
+    to_z *= rest
+    to_new = np.multiply(new, new, out=new)
+    np.subtract(1, to_new, out=to_new)
+    to_new *= rest
+    to_r = np.multiply(inner, r, out=inner)
+    to_r *= np.subtract(1, r, out=rest)
+    d_gates, d_back = (room(name, steps, width, 3 * n) for name in ("gates", "d_back"))
     g_h = np.zeros((width, n), np.float32)
     for t in range(steps - 1, -1, -1):
-        old, x, z, r, new, inner = kept[t]
-        g_h = g_h + g_states[t]
-        d_new = g_h * (1 - z) * (1 - new * new)
-        d_z = g_h * (old - new) * z * (1 - z)
-        d_r = d_new * inner * r * (1 - r)
-        d_gates = np.concatenate([d_z, d_r, d_new], axis=1)
-        d_back = np.concatenate([d_z, d_r, d_new * r], axis=1)
-        g_wx += x.T @ d_gates
-        g_b += d_gates.sum(axis=0)
-        g_wh += old.T @ d_back
-        np.add.at(g_embed, np.maximum(given[:, t], 0), d_gates @ model.wx.T)
-        g_h = g_h * z + d_back @ model.wh.T
-        g_h[given[:, t] == 0] = 0
+        g_h += g_states[t]
+        d_new = np.multiply(g_h, to_new[t], out=d_gates[t, :, 2 * n:])
+        np.multiply(g_h, to_z[t], out=d_gates[t, :, :n])
+        np.multiply(d_new, to_r[t], out=d_gates[t, :, n:2 * n])
+        d_back[t, :, :2 * n] = d_gates[t, :, :2 * n]
+        np.multiply(d_new, r[t], out=d_back[t, :, 2 * n:])
+        g_h *= z[t]
+        g_h += d_back[t] @ model.wh.T
+        g_h *= fresh[t]
+    g_wx = np.matmul(x.reshape(steps, width, -1).transpose(0, 2, 1), d_gates).sum(axis=0)
+    g_wh = np.matmul(old.transpose(0, 2, 1), d_back).sum(axis=0)
+    d_gates = d_gates.reshape(-1, 3 * n)
+    g_b = np.ones(size, np.float32) @ d_gates
+    g_embed = np.zeros_like(model.embed)
+    order = np.argsort(seen.astype(np.int16), kind="stable")
+    first = np.flatnonzero(np.diff(seen[order], prepend=-1))
+    d_x = np.matmul(d_gates, model.wx.T, out=x)
+    g_embed[seen[order[first]]] = np.add.reduceat(np.take(d_x, order, axis=0, out=room("sorted", size, EMBED), mode="clip"), first, axis=0)
     gradients = [g_embed, g_wx, g_wh, g_b, g_wc, g_bc, g_ww, g_bw]
     norm = math.sqrt(sum(float((g * g).sum()) for g in gradients))
     if norm > 1:
         gradients = [g / np.float32(norm) for g in gradients]
-    return gradients, h
+    return gradients, end
 
 
 def count_words(docs: DataFrame) -> DataFrame:
